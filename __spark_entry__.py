@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# from factlab import benchmarks
+from factlab import benchmarks, schemas
 from factlab.functions import (
     add_period,
     at_least,
@@ -47,6 +47,7 @@ from factlab.sources import (
     dim_table,
     fresh_path,
     ingest_csv,
+    read_csv_typed,
     read_table,
     register,
     write_csv_raw,
@@ -144,12 +145,8 @@ def q12_boolean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _epoch(column: str) -> F.Column:
     """Epoch seconds of a zone-free timestamp, whatever the session time zone."""
-    return (
-        F.unix_date(F.to_date(column)).cast("bigint") * 86400
-        + F.hour(column) * 3600
-        + F.minute(column) * 60
-        + F.second(column)
-    )
+    since = f"{column} - timestamp_ntz'1970-01-01'"
+    return F.expr(f"cast(cast({since} as interval second) as bigint)")
 
 
 @_query(
@@ -519,7 +516,7 @@ def q11_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents through raw CSV and back: quotes, commas and newlines survive."""
     documents = _table(spark, sf_dir, "documents")
     raw, typed = fresh_path(spark, "documents-csv"), fresh_path(spark, "documents")
-    write_csv_raw(documents, raw, records_per_file=100_000)
+    write_csv_raw(documents, raw)
     ingest_csv(spark, raw, typed, {"doc_id": "bigint", "n_chars": "bigint"})
     return read_table(spark, typed)
 
@@ -746,6 +743,59 @@ _sql_report("q9", _MONTHLY.format(score="weighted_vote_score"))
 _sql_report("q10", _PROFILED)
 
 
+# ---- benchmark jobs ----------------------------------------------------------------
+# Their timings differ from run to run; what is compared is the rows each workload gave.
+
+_ELITE_ROWS = "(select count(*) from elite)"
+_GAME_ROWS = "(select count(*) from games)"
+_VERDICT_ROWS = "(select count(*) from (select distinct appid, voted_up from reviews) as v)"
+_TOP_SCORE_ROWS = """(select count(*) from (
+    select rank() over (partition by appid order by weighted_vote_score desc) as r
+    from reviews where weighted_vote_score is not null) as ranked where r = 1)"""
+_ALL_ROWS = "(select count(*) from reviews)"
+
+
+def _formats(table: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, typed = fresh_path(spark, "reviews-csv"), fresh_path(spark, "reviews")
+    stored = table.drop("review_year", "review_month")
+    write_csv_raw(stored, raw)
+    write_table(stored, typed)
+    csv = reviews.with_period(read_csv_typed(spark, raw, schemas.REVIEWS))
+    result = benchmarks.compare_formats(csv, reviews.load(spark, typed), repeats=1, warm_up=False)
+    return result.select("workload", "csv_rows", "parquet_rows")
+
+
+_report(
+    "b1_formats",
+    f"""select workload, cast(n as bigint) as csv_rows, cast(n as bigint) as parquet_rows
+        from (select 'count' as workload, {_ALL_ROWS} as n
+              union all select 'aggregation', {_GAME_ROWS}
+              union all select 'complex_filter', {_ELITE_ROWS}
+              union all select 'column_scan', {_ALL_ROWS}) as results""",
+    _formats,
+    _ELITE_REVIEWS,
+    _GAMES_SKIP,
+)
+_report(
+    "b2_partitions",
+    f"""select workload, cast(partitions as int) as partitions, cast(n as bigint) as rows
+        from (select 'q2' as workload, {_GAME_ROWS} as n
+              union all select 'q3', {_VERDICT_ROWS}
+              union all select 'q5', {_TOP_SCORE_ROWS}) as results
+        cross join (values (50), (100), (200), (400)) as widths(partitions)""",
+    lambda t, *_: benchmarks.sweep_partitions(t, repeats=1, warm_up=False).select(
+        "workload", "partitions", "rows"
+    ),
+    _GAMES_SKIP,
+)
+_report(
+    "b3_profiles",
+    f"""select profile, cast({_ALL_ROWS} as bigint) as rows
+        from (values ('default'), ('low'), ('high')) as profiles(profile)""",
+    lambda t, *_: benchmarks.time_profiles(t, repeats=1, warm_up=False).select("profile", "rows"),
+)
+
+
 # ---- contract --------------------------------------------------------------------
 
 

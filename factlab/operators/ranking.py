@@ -10,6 +10,9 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Upper limit, a power of two, of the rows broadcast to prune candidates for rank 1.
+SLOTS = 65_536
+
 
 def top_k(
     df: DataFrame, score: Column, score_as: str, k: int, tie_break: Sequence[str]
@@ -53,31 +56,45 @@ def _single_winner(
 def _all_winners(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rank_as: str
 ) -> DataFrame:
-    # A plain rank() window would bring all rows tied at the top of a hot group
-    # into one task. Instead each group's best values come from an aggregate,
-    # and rows are matched with them in a join on group and values, which AQE
-    # splits where many rows tie. Ranking within each input partition first
-    # drops the rows that cannot win before anything is shuffled.
+    # A rank() window would sort every row and bring all rows tied at the top of
+    # a hot group into one task. Instead each group's best values come from an
+    # aggregate, and rows are matched with them in a join on group and values,
+    # which AQE splits where many rows tie.
     best = _best_values(df, keys, order)
-    local = Window.partitionBy(*keys, "_part").orderBy(*map(F.desc_nulls_last, order))
-    candidates = (
-        df.withColumn("_part", F.spark_partition_id())
-        .withColumn(rank_as, F.rank().over(local))
-        .filter(F.col(rank_as) == 1)
-        .drop("_part")
-    )
+    candidates = _drop_hopeless(df, best, keys, order[0])
     same = reduce(
         and_, (candidates[name].eqNullSafe(best[f"_best_{name}"]) for name in [*keys, *order])
     )
-    return candidates.join(best, same).select(*df.columns, rank_as)
+    return candidates.join(best, same).select(*df.columns, F.lit(1).alias(rank_as))
 
 
 def _best_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    renamed_keys = [F.col(name).alias(f"_best_{name}") for name in keys]
-    groups = df.groupBy(*renamed_keys)
+    groups = df.groupBy(*(F.col(name).alias(f"_best_{name}") for name in keys))
     if len(order) == 1:
         # The maximum of a number is a hash aggregate, that of a struct is not.
         return groups.agg(F.max(order[0]).alias(f"_best_{order[0]}"))
     best = groups.agg(F.max(F.struct(*order)).alias("_best"))
     values = [F.col(f"_best.{name}").alias(f"_best_{name}") for name in order]
     return best.select(*(f"_best_{name}" for name in keys), *values)
+
+
+def _drop_hopeless(
+    df: DataFrame, best: DataFrame, keys: Sequence[str], first: str
+) -> DataFrame:
+    # Groups hash into SLOTS slots, and the lowest of a slot's best values bounds
+    # what a winner in it must reach. That table has at most SLOTS rows however
+    # many groups there are, so it can be broadcast, and rows below the bound
+    # never reach the join's shuffle. A slot with a best value of NULL bounds nothing.
+    def slot(names: Sequence[str]) -> Column:
+        return F.xxhash64(*names).bitwiseAND(SLOTS - 1)
+
+    value = F.col(f"_best_{first}")
+    bounds = best.groupBy(slot([f"_best_{name}" for name in keys]).alias("_slot")).agg(
+        F.when(F.count(F.lit(1)) == F.count(value), F.min(value)).alias("_bound")
+    )
+    return (
+        df.withColumn("_slot", slot(keys))
+        .join(F.broadcast(bounds), "_slot")
+        .filter(F.col("_bound").isNull() | (F.col(first) >= F.col("_bound")))
+        .drop("_slot", "_bound")
+    )

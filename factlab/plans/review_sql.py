@@ -52,23 +52,22 @@ TEXTS = {
   from games order by engagement_score desc, appid limit :k
 """,
     # Best values per game joined back, as in operators.ranking: a plain rank()
-    # window would bring all rows that tie in a game into one task.
+    # window would bring all rows that tie in a game into one task. The broadcast
+    # table has one row per slot, 65,536 at most.
     "q5": """
   with scored as (
-    select appid, steamid, voted_up, weighted_vote_score, votes_up, playtime_forever,
-           spark_partition_id() as part
+    select appid, steamid, voted_up, weighted_vote_score, votes_up, playtime_forever
     from reviews where isnotnull(weighted_vote_score)),
-  candidates as (
-    select *, rank() over (partition by appid, part
-                           order by weighted_vote_score desc, votes_up desc) as influence_rank
-    from scored),
   best as (
-    select appid, max(struct(weighted_vote_score, votes_up)) as top from scored group by appid)
-  select c.* except (part)
-  from candidates as c join best as b
-    on c.appid <=> b.appid
-   and c.weighted_vote_score = b.top.weighted_vote_score and c.votes_up <=> b.top.votes_up
-  where influence_rank = 1
+    select appid, max(struct(weighted_vote_score, votes_up)) as top from scored group by appid),
+  bounds as (
+    select xxhash64(appid) & 65535 as slot, min(top.weighted_vote_score) as bound
+    from best group by slot)
+  select /*+ broadcast(bounds) */ scored.*, 1 as influence_rank
+  from scored
+  join bounds on xxhash64(scored.appid) & 65535 = slot and weighted_vote_score >= bound
+  join best on scored.appid <=> best.appid
+           and weighted_vote_score <=> top.weighted_vote_score and votes_up <=> top.votes_up
 """,
     "q6": f"""
   with days as (

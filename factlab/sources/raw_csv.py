@@ -71,7 +71,7 @@ def ingest_csv(
     write_table(table, target, partition_by)
 
 
-def write_csv_raw(df: DataFrame, path: str, records_per_file: int = 1_000_000) -> None:
+def write_csv_raw(df: DataFrame, path: str, records_per_file: int = 200_000) -> None:
     """Write ``df`` as raw CSV in files of bounded size, each one task when read back."""
     (
         df.write.mode("overwrite")

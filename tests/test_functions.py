@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from factlab.benchmarks import sql_settings
+from factlab.functions import (
+    add_period,
+    all_of,
+    at_least,
+    day_number,
+    day_of,
+    is_true,
+    long_text,
+    not_null,
+    one_of,
+    text_to_boolean,
+    text_to_flag,
+    within_years,
+)
+from factlab.operators import filter_all
+from factlab.plans.inspect import plan_text
+
+NEW_YEAR_2019 = 1_546_300_800
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Pacific/Kiritimati"])
+def test_epoch_is_read_as_utc_in_any_session_zone(spark, zone):
+    seconds = [0, -1, NEW_YEAR_2019 - 1, NEW_YEAR_2019, None, 1 << 62, -(1 << 62)]
+    df = spark.createDataFrame([(value,) for value in seconds], "seconds bigint")
+    with sql_settings(spark, {"spark.sql.session.timeZone": zone}):
+        table = add_period(df, "seconds", "year", "month")
+        found = table.select(
+            day_of(df, "seconds").alias("date"), "year", "month", day_number(df, "seconds")
+        ).collect()
+    assert [tuple(row) for row in found] == [
+        (dt.date(1970, 1, 1), 1970, 1, 0),
+        (dt.date(1969, 12, 31), 1969, 12, -1),
+        (dt.date(2018, 12, 31), 2018, 12, 17896),
+        (dt.date(2019, 1, 1), 2019, 1, 17897),
+        (None,) * 4,
+        (None,) * 4,
+        (None,) * 4,
+    ]
+
+
+def test_epoch_range_ends(spark):
+    ends = [-62_135_596_800, 253_402_300_799, -62_135_596_801, 253_402_300_800]
+    df = spark.createDataFrame([(value,) for value in ends], "seconds bigint")
+    dates = [row[0] for row in df.select(day_of(df, "seconds")).collect()]
+    assert dates == [dt.date(1, 1, 1), dt.date(9999, 12, 31), None, None]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "date", "timestamp_ntz", "timestamp"])
+def test_within_years_on_each_time_type(spark, kind, tmp_path):
+    texts = ["2017-12-31", "2018-01-01", "2018-12-31", "2019-06-01", "2020-01-01"]
+    df = spark.createDataFrame([(text,) for text in texts], "day string")
+    when = F.col("day").cast("date")
+    when = F.unix_date(when).cast("bigint") * 86400 if kind == "bigint" else when.cast(kind)
+    df.select("day", when.alias("when")).write.parquet(str(tmp_path / "t"))
+    kept = within_years(spark.read.parquet(str(tmp_path / "t")), "when", [2018, 2020])
+    assert rows(kept.select("day")) == [("2018-01-01",), ("2018-12-31",), ("2020-01-01",)]
+    pushed = plan_text(kept).split("PushedFilters: ")[1].splitlines()[0]
+    assert "GreaterThanOrEqual(when" in pushed and "LessThan(when" in pushed
+
+
+def test_within_no_years_is_empty(spark):
+    df = spark.createDataFrame([(0,)], "seconds bigint")
+    assert within_years(df, "seconds", []).count() == 0
+
+
+def test_within_years_rejects_text(spark):
+    with pytest.raises(TypeError):
+        within_years(spark.createDataFrame([("2018",)], "day string"), "day", [2018])
+
+
+def test_text_to_boolean_and_flag(spark):
+    texts = ["TRUE", " false ", "yes", "no", "1", "maybe", "", None]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    found = df.select(text_to_boolean(F.col("t")), text_to_flag(F.col("t"))).collect()
+    assert [row[0] for row in found] == [True, False, True, False, True, None, None, None]
+    assert [row[1] for row in found] == [True, False, False, False, False, False, False, None]
+
+
+def test_null_fails_every_test(spark):
+    df = spark.createDataFrame(
+        [(1, 5, True, "long text"), (2, None, None, None), (3, 4, False, "short")],
+        "id int, n int, flag boolean, t string",
+    )
+    for test in (at_least("n", 5), is_true("flag"), long_text("t", 9), one_of("n", [5, 6])):
+        assert rows(df.filter(test).select("id")) == [(1,)]
+        assert rows(df.filter(~test).select("id")) == [(3,)]
+    assert rows(df.filter(not_null("n", "t")).select("id")) == [(1,), (3,)]
+    assert rows(df.filter(all_of([not_null("n"), is_true("flag")])).select("id")) == [(1,)]
+
+
+def test_text_length_counts_characters(spark):
+    df = spark.createDataFrame([("é" * 5,), ("ab",)], "t string")
+    assert df.filter(long_text("t", 5)).count() == 1
+    assert df.filter(long_text("t", 6)).count() == 0
+
+
+def test_float_is_compared_as_double(spark):
+    df = spark.createDataFrame([(0.69,), (0.7,), (0.71,)], "score float")
+    assert df.filter(at_least("score", 0.7)).count() == 1
+
+
+def test_filter_all_is_pushed_and_pruned(spark, tmp_path):
+    spark.range(10).selectExpr(
+        "id", "id * 1.5D as score", "id % 2 = 0 as flag", "string(id) as t", "id as unused"
+    ).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    kept = filter_all(df, [at_least("score", 3), is_true("flag"), long_text("t", 1)], ["id"])
+    assert rows(kept) == [(2,), (4,), (6,), (8,)]
+    text = plan_text(kept)
+    assert "GreaterThanOrEqual(score,3.0)" in text and "EqualTo(flag,true)" in text
+    assert text.count("Filter (") == text.count("Filter (2)") + text.count("Filter (3)")
+    assert "unused" not in text.split("ReadSchema")[1].splitlines()[0]

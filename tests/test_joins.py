@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from factlab.operators import above_global_mean, join_to_groups, lookup_join, merge_join, shared
+from factlab.plans.inspect import plan_text
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    return spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (9, "e")], "key int, fact string"
+    )
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.createDataFrame(
+        [(1, "x"), (2, "y"), (2, "z"), (None, "n"), (5, "w")], "key int, name string"
+    )
+
+
+EXPECTED = [("a", "x"), ("b", "x"), ("c", "y"), ("c", "z")]
+
+
+@pytest.mark.parametrize("fixed_size", [True, False])
+def test_lookup_join(fact, dim, fixed_size):
+    assert rows(lookup_join(fact, dim, "key", ["fact", "name"], fixed_size)) == EXPECTED
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 3])
+def test_merge_join(fact, dim, partitions):
+    joined = merge_join(fact, dim, "key", ["fact", "name"], partitions)
+    assert rows(joined) == EXPECTED
+    assert merge_join(fact, dim, "key", None, partitions).columns == ["key", "fact", "name"]
+
+
+def test_declared_lookup_is_broadcast_whatever_the_threshold(skewed_session, fact, dim):
+    assert "BroadcastHashJoin" in plan_text(lookup_join(fact, dim, "key", fixed_size=True))
+    assert "BroadcastHashJoin" not in plan_text(lookup_join(fact, dim, "key"))
+
+
+def test_merge_join_needs_no_session_setting(spark, fact, dim):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan_text(merge_join(fact, dim, "key"))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == before
+
+
+def _names(spark):
+    return spark.range(1000).select(F.col("id").alias("key"), F.col("id").alias("name"))
+
+
+def test_hot_key_is_split(skewed_session, hot_table):
+    joined = merge_join(hot_table, _names(skewed_session), "key")
+    assert len(joined.collect()) == 100_000
+    assert "SortMergeJoin(skew=true)" in plan_text(joined, "simple")
+
+
+def test_aligned_join_spreads_a_hot_key(skewed_session, hot_table):
+    joined = merge_join(hot_table.repartition(8), _names(skewed_session), "key", partitions=16)
+    sizes = joined.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(row["count"] for row in sizes) == 100_000
+    assert joined.rdd.getNumPartitions() == 16
+    # Unsalted, the partition of key 7 would hold more than 33,334 rows.
+    assert max(row["count"] for row in sizes) < 20_000
+    assert joined.filter("key != name").count() == 0
+    assert joined.select("row_id").distinct().count() == 100_000
+
+
+def test_join_to_groups_drops_null_keys(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 3.0), (None, 10.0)], "key int, value double")
+    groups = above_global_mean(df, "key", "value", "mean")
+    assert rows(join_to_groups(df, groups, "key")) == []
+    low = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    assert rows(join_to_groups(df, low, "key")) == [(1, 1.0, 1), (2, 3.0, 1)]
+
+
+def test_join_to_groups_splits_a_hot_key_and_scans_once_for_means(skewed_session, hot_table):
+    groups = above_global_mean(hot_table, "key", "score", "mean")
+    joined = join_to_groups(hot_table, groups, "key", ["row_id", "mean"])
+    above = {row["key"] for row in groups.collect()}
+    expected = hot_table.filter(F.col("key").isin(*above)).count()
+    assert len(joined.collect()) == expected > 0
+    final = plan_text(joined, "simple")
+    assert "ReusedExchange" in final
+    assert "SortMergeJoin(skew=true)" in final
+
+
+def test_shared_result_is_read_from_memory_and_released(spark, hot_table):
+    with shared(hot_table.filter("key = 7").select("row_id")) as kept:
+        assert kept.count() == 33_401
+        assert "InMemoryTableScan" in plan_text(kept.filter("row_id > 5"))
+        assert kept.storageLevel.useMemory and kept.storageLevel.useDisk
+    assert not kept.storageLevel.useMemory
+    assert "InMemoryTableScan" not in plan_text(hot_table.filter("key = 7").select("row_id"))
