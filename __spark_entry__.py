@@ -402,8 +402,7 @@ _TREND = """select l_suppkey, day, n,
 
 def _trend(spark: SparkSession, sf_dir: str, frame: str) -> DataFrame:
     daily = daily_counts(_table(spark, sf_dir, "lineitem"), "l_suppkey", "l_shipdate", "day", "n")
-    trend = moving_average(daily, "l_suppkey", "day", "n", "avg_7d", 7, frame)
-    return trend.orderBy("l_suppkey", "day")
+    return moving_average(daily, "l_suppkey", "day", "n", "avg_7d", frame=frame, ordered=True)
 
 
 @_query(

@@ -7,7 +7,7 @@ from functools import reduce
 from operator import and_
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Upper limit, a power of two, of the rows broadcast to prune candidates for rank 1.
@@ -35,8 +35,8 @@ def top_ranked(
     """The rows of rank 1 in each group, by ``order`` descending with NULL last.
 
     ``ties="all"`` keeps every row equal to the best one, as ``rank() = 1`` does.
-    ``ties="one"`` keeps a single row: the highest by ``tie_break``, which has to
-    make the order total for the choice to be repeatable.
+    ``ties="one"`` keeps a single row: the highest by ``tie_break`` and, where that
+    leaves a choice, by the remaining columns.
     """
     if ties == "one":
         return _single_winner(df, keys, [*order, *tie_break], rank_as)
@@ -48,9 +48,12 @@ def top_ranked(
 def _single_winner(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rank_as: str
 ) -> DataFrame:
-    # One row per group and task is left before the shuffle.
-    window = Window.partitionBy(*keys).orderBy(*(F.desc_nulls_last(name) for name in order))
-    return df.withColumn(rank_as, F.row_number().over(window)).filter(F.col(rank_as) == 1)
+    # The largest struct of all columns, the deciding ones first. As an aggregate
+    # it leaves one row per group and task before the shuffle.
+    others = [name for name in df.columns if name not in (*keys, *order)]
+    winner = F.max(F.struct(*order, *others)).alias("_winner")
+    columns = [F.col(name if name in keys else f"_winner.{name}") for name in df.columns]
+    return df.groupBy(*keys).agg(winner).select(*columns, F.lit(1).alias(rank_as))
 
 
 def _all_winners(

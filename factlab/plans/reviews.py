@@ -168,10 +168,15 @@ def review_trend(reviews: DataFrame, frame: str = "range") -> DataFrame:
     daily = daily_counts(
         reviews, "appid", "unix_timestamp_created", "review_date", "daily_review_count"
     )
-    trend = moving_average(
-        daily, "appid", "review_date", "daily_review_count", "avg_7d_reviews", 7, frame
+    return moving_average(
+        daily,
+        "appid",
+        "review_date",
+        "daily_review_count",
+        "avg_7d_reviews",
+        frame=frame,
+        ordered=True,
     )
-    return trend.orderBy("appid", "review_date")
 
 
 def review_trend_by_number(reviews: DataFrame) -> DataFrame:

@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_folder() -> tempfile.TemporaryDirectory:
+    # Kept to the end of the process, which removes it.
+    return tempfile.TemporaryDirectory(prefix="factlab-")
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """An unused path in the shared folder that ``spark.checkpoint.dir`` names.
 
@@ -18,5 +25,5 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+        base = _local_folder().name
     return f"{base.rstrip('/')}/factlab-{label}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 
 from factlab.operators import moving_average
+from factlab.plans.inspect import plan_text
 
 START = dt.date(2020, 2, 20)
 
@@ -44,6 +45,19 @@ def test_against_brute_force(spark, frame):
     assert rows(result) == expected
 
 
+@pytest.mark.parametrize("frame", ["range", "rows"])
+def test_ordered_result_costs_no_second_shuffle(spark, frame):
+    rng = random.Random(4)
+    data = [(key, day, 1) for key in range(50) for day in range(20)]
+    rng.shuffle(data)
+    daily = _daily(spark, data)
+    plain = moving_average(daily, "key", "day", "n", "avg", frame=frame)
+    ordered = moving_average(daily, "key", "day", "n", "avg", frame=frame, ordered=True)
+    text = plan_text(ordered, "simple")
+    assert text.count("Exchange") == 1 and text.count("Sort") == 1
+    assert [tuple(row) for row in ordered.collect()] == rows(plain)
+
+
 def test_unknown_frame_is_refused(spark):
     with pytest.raises(ValueError):
         moving_average(_daily(spark, [(1, 0, 1)]), "key", "day", "n", "avg", frame="weeks")

@@ -87,10 +87,17 @@ def test_pruning_table_is_bounded_and_losers_stay_out_of_the_shuffle(spark, hot_
     assert "_bound" in final and "BroadcastHashJoin" in final
 
 
-def test_single_winner_is_limited_before_the_shuffle(hot_table):
+def test_single_winner_is_chosen_before_the_shuffle(hot_table):
     text = plan_text(top_ranked(hot_table, ["key"], ["score"], ties="one"), "simple")
-    before_exchange = text[text.index("Exchange hashpartitioning"):]
-    assert "WindowGroupLimit" in before_exchange and "Partial" in before_exchange
+    assert "partial_max" in text[text.index("Exchange hashpartitioning"):]
+    assert "Window" not in text
+
+
+def test_single_winner_keeps_column_order_and_needs_no_tie_break(spark):
+    df = spark.createDataFrame([(5, "a", 1), (7, "a", 1), (6, "b", None)], "x int, k string, v int")
+    one = top_ranked(df, ["k"], ["v"], ties="one")
+    assert one.columns == ["x", "k", "v", "rank"]
+    assert rows(one) == [(6, "b", None, 1), (7, "a", 1, 1)]
 
 
 def test_top_k_breaks_ties_and_takes_no_full_sort(spark):
