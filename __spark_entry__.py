@@ -754,13 +754,19 @@ _TOP_SCORE_ROWS = """(select count(*) from (
 _ALL_ROWS = "(select count(*) from reviews)"
 
 
-def _formats(table: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_formats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The review table stored as raw CSV and as Parquet, both read back."""
     raw, typed = fresh_path(spark, "reviews-csv"), fresh_path(spark, "reviews")
-    stored = table.drop("review_year", "review_month")
+    stored = _reviews(spark, sf_dir).drop("review_year", "review_month")
     write_csv_raw(stored, raw)
     write_table(stored, typed)
     csv = reviews.with_period(read_csv_typed(spark, raw, schemas.REVIEWS))
-    result = benchmarks.compare_formats(csv, reviews.load(spark, typed), repeats=1, warm_up=False)
+    return csv, reviews.load(spark, typed)
+
+
+def _formats(table: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    csv, parquet = review_formats(spark, sf_dir)
+    result = benchmarks.compare_formats(csv, parquet, repeats=1, warm_up=False)
     return result.select("workload", "csv_rows", "parquet_rows")
 
 
