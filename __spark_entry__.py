@@ -38,6 +38,7 @@ from factlab.operators import (
     merge_join,
     moving_average,
     period_summary,
+    preview,
     top_k,
     top_ranked,
 )
@@ -418,6 +419,24 @@ def q06_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trend(spark, sf_dir, "rows")
 
 
+@_query(
+    "q24_preview",
+    """select l_suppkey, l_returnflag, count(*) as n,
+              round(avg(l_discount), 4) as avg_discount,
+              round(stddev_samp(l_discount), 4) as std_discount
+       from lineitem group by l_suppkey, l_returnflag
+       order by n desc, l_suppkey, l_returnflag limit 20""",
+)
+def q24_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = [
+        Stat("avg_discount", "mean", "l_discount", 4),
+        Stat("std_discount", "std", "l_discount", 4),
+    ]
+    keys = ["l_suppkey", "l_returnflag"]
+    groups = grouped_stats(_table(spark, sf_dir, "lineitem"), keys, stats)
+    return preview(groups, 20, [F.desc("n"), *keys])
+
+
 # ---- joins ---------------------------------------------------------------------
 
 _ABOVE_MEAN = f"""with elite as ({_ELITE_ITEMS}),
@@ -515,7 +534,7 @@ def q11_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents through raw CSV and back: quotes, commas and newlines survive."""
     documents = _table(spark, sf_dir, "documents")
     raw, typed = fresh_path(spark, "documents-csv"), fresh_path(spark, "documents")
-    write_csv_raw(documents, raw)
+    write_csv_raw(documents, raw, records_per_file=20_000)
     ingest_csv(spark, raw, typed, {"doc_id": "bigint", "n_chars": "bigint"})
     return read_table(spark, typed)
 
@@ -714,7 +733,7 @@ def _stored_reviews(table: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
     raw, typed = fresh_path(spark, "reviews-csv"), fresh_path(spark, "reviews")
     write_csv_raw(table.drop("review_year", "review_month"), raw)
     reviews.ingest(spark, raw, typed, partition_by=["review_year", "review_month"])
-    return reviews.monthly_summary(reviews.load(spark, typed), _YEARS)
+    return reviews.monthly_summary(reviews.load(spark, typed), _YEARS, partitioned=True)
 
 
 _report("reviews_ingest", _MONTHLY.format(score="weighted_vote_score"), _stored_reviews)

@@ -11,7 +11,7 @@ from factlab.operators.aggregates import (
 from factlab.operators.filters import filter_all
 from factlab.operators.joins import join_to_groups, lookup_join, merge_join
 from factlab.operators.moving import moving_average
-from factlab.operators.ranking import top_k, top_ranked
+from factlab.operators.ranking import preview, top_k, top_ranked
 from factlab.operators.reuse import shared
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "merge_join",
     "moving_average",
     "period_summary",
+    "preview",
     "shared",
     "top_k",
     "top_ranked",

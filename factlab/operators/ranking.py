@@ -24,6 +24,11 @@ def top_k(
     return df.withColumn(score_as, score).orderBy(F.desc(score_as), *tie_break).limit(k)
 
 
+def preview(df: DataFrame, rows: int, order: Sequence[str | Column]) -> DataFrame:
+    """The first ``rows`` rows in ``order``, found without sorting the rest."""
+    return df.orderBy(*order).limit(rows)
+
+
 def top_ranked(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,7 +39,8 @@ def top_ranked(
 ) -> DataFrame:
     """The rows of rank 1 in each group, by ``order`` descending with NULL last.
 
-    ``ties="all"`` keeps every row equal to the best one, as ``rank() = 1`` does.
+    ``ties="all"`` keeps every row equal to the best one, as ``rank() = 1`` does. It
+    reads ``df`` twice, the first time only its key and order columns.
     ``ties="one"`` keeps a single row: the highest by ``tie_break`` and, where that
     leaves a choice, by the remaining columns.
     """

@@ -212,15 +212,21 @@ def named_reviews(reviews: DataFrame, apps: DataFrame, fixed_size: bool = True)
 
 
 def monthly_summary(
-    reviews: DataFrame, years: Sequence[int] = SUMMARY_YEARS, nulls: str = "skip"
+    reviews: DataFrame,
+    years: Sequence[int] = SUMMARY_YEARS,
+    nulls: str = "skip",
+    partitioned: bool = False,
 ) -> DataFrame:
     """Q9: reviews and mean score per month of the given years.
 
-    The year test prunes directories of a partitioned table; the range of the
-    creation time, implied by it, skips row groups of one that is not.
+    On a table ``partitioned`` by review_year the year test opens the
+    directories of these years only. On others the range of the creation time
+    that it implies is tested as well, to skip row groups.
     """
+    if not partitioned:
+        reviews = within_years(reviews, "unix_timestamp_created", years)
     return period_summary(
-        within_years(reviews, "unix_timestamp_created", years),
+        reviews,
         ["review_year", "review_month"],
         [Stat("avg_score", "mean", "weighted_vote_score", 4)],
         years,

@@ -72,7 +72,11 @@ def ingest_csv(
 
 
 def write_csv_raw(df: DataFrame, path: str, records_per_file: int = 200_000) -> None:
-    """Write ``df`` as raw CSV in files of bounded size, each one task when read back."""
+    """Write ``df`` as raw CSV.
+
+    A file is one task when read back, so wide rows call for fewer
+    ``records_per_file``. CSV does not tell an empty text from a missing one.
+    """
     (
         df.write.mode("overwrite")
         .option("header", True)

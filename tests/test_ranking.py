@@ -7,8 +7,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from factlab.operators import top_k, top_ranked
-from factlab.operators import ranking
+from factlab.operators import preview, ranking, top_k, top_ranked
 from factlab.plans.inspect import plan_text
 
 
@@ -107,3 +106,10 @@ def test_top_k_breaks_ties_and_takes_no_full_sort(spark):
     assert "TakeOrderedAndProject" in plan_text(best, "simple")
     everything = df.withColumn("doubled", F.col("score") * 2).orderBy(F.desc("doubled"), "id")
     assert best.collect() == everything.collect()[:6]
+
+
+def test_preview(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(9)], "id int, third int")
+    first = preview(df, 4, [F.desc("third"), "id"])
+    assert [row["id"] for row in first.collect()] == [2, 5, 8, 1]
+    assert "TakeOrderedAndProject" in plan_text(first, "simple")

@@ -133,8 +133,10 @@ def test_ingested_table_prunes_directories(spark, table, tmp_path):
     loaded = reviews.load(spark, typed)
     assert sorted(loaded.columns) == sorted(table.columns)
     assert rows(loaded.select(table.columns)) == rows(table)
-    summary = reviews.monthly_summary(loaded)
-    assert "PartitionFilters: [isnotnull(review_year" in plan_text(summary)
+    summary = reviews.monthly_summary(loaded, partitioned=True)
+    text = plan_text(summary)
+    assert "PartitionFilters: [isnotnull(review_year" in text
+    assert "ReadSchema: struct<weighted_vote_score:float>" in text
     assert rows(summary) == rows(reviews.monthly_summary(table))
 
 
