@@ -529,16 +529,28 @@ def q10_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- ingest and views ------------------------------------------------------------
 
 
-@_query("q11_ingest", "select doc_id, text, lang, source, n_chars from documents")
-def q11_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+_DOCUMENTS = "select doc_id, text, lang, source, n_chars from documents"
+
+
+def _ingested(spark: SparkSession, sf_dir: str, tasks: str) -> DataFrame:
     """documents through raw CSV and back: quotes, commas and newlines survive."""
     documents = _table(spark, sf_dir, "documents")
     raw, typed = fresh_path(spark, "documents-csv"), fresh_path(spark, "documents")
     write_csv_raw(documents, raw, records_per_file=20_000)
-    ingest_csv(spark, raw, typed, {"doc_id": "bigint", "n_chars": "bigint"})
+    ingest_csv(spark, raw, typed, {"doc_id": "bigint", "n_chars": "bigint"}, tasks=tasks)
     return read_table(spark, typed)
 
 
+@_query("q11_ingest", _DOCUMENTS)
+def q11_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, "files")
+
+
+@_query("q11_ingest_blocks", _DOCUMENTS)
+def q11_ingest_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, "blocks")
+
+
 @_query("q18_views", _PART_STATS.format(min_rows=35))
 def q18_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(_table(spark, sf_dir, "lineitem"), "factlab_lineitem")

@@ -78,7 +78,11 @@ def with_period(table: DataFrame) -> DataFrame:
 
 
 def ingest(
-    spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    source: str,
+    target: str,
+    partition_by: Sequence[str] = (),
+    tasks: str = "files",
 ) -> None:
     """Raw review CSV to the typed table that ``load`` reads."""
     ingest_csv(
@@ -88,6 +92,7 @@ def ingest(
         schemas.column_types(schemas.REVIEWS),
         epoch="unix_timestamp_created",
         partition_by=partition_by,
+        tasks=tasks,
     )
 
 

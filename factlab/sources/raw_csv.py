@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Literal
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from factlab.functions import add_period, text_to_boolean
+from factlab.sources.split_csv import read_csv_split
 from factlab.sources.tables import write_table
 
+Tasks = Literal["files", "blocks", "lines"]
+
 
 def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     # enforceSchema=false compares every file's header with the columns and
@@ -23,20 +27,26 @@ def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     )
 
 
-def read_csv_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv_raw(spark: SparkSession, path: str, tasks: Tasks = "files") -> DataFrame:
     """CSV with a header line, every column text.
 
-    With ``multi_line`` one file is one task, since a quoted newline hides where
-    records start: deliver such data as many files. Without it files are split.
+    A quoted newline hides where records start, so by default one file is one
+    task: deliver the data as many files. ``tasks="blocks"`` divides large files
+    at the price of two shuffles, if they are well-formed (see ``split_csv``).
+    ``tasks="lines"`` is for data without quoted newlines, which needs neither.
     """
-    return _reader(spark, multi_line).csv(path)
+    if tasks == "files":
+        return _reader(spark, multi_line=True).csv(path)
+    if tasks == "lines":
+        return _reader(spark, multi_line=False).csv(path)
+    if tasks == "blocks":
+        return read_csv_split(spark, path, _reader(spark, multi_line=True).csv(path).columns)
+    raise ValueError(f"tasks must be 'files', 'blocks' or 'lines', not {tasks!r}")
 
 
-def read_csv_typed(
-    spark: SparkSession, path: str, schema: StructType, multi_line: bool = True
-) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV read straight into ``schema``, whose column order must be the header's."""
-    return _reader(spark, multi_line).schema(schema).csv(path)
+    return _reader(spark, multi_line=True).schema(schema).csv(path)
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -62,10 +72,10 @@ def ingest_csv(
     year: str = "review_year",
     month: str = "review_month",
     partition_by: Sequence[str] = (),
-    multi_line: bool = True,
+    tasks: Tasks = "files",
 ) -> None:
     """Raw CSV to typed Parquet, with year and month taken from the ``epoch`` column."""
-    table = cast_columns(read_csv_raw(spark, source, multi_line), types)
+    table = cast_columns(read_csv_raw(spark, source, tasks), types)
     if epoch is not None:
         table = add_period(table, epoch, year, month)
     write_table(table, target, partition_by)

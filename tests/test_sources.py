@@ -69,12 +69,60 @@ def test_files_with_columns_in_another_order_are_refused(spark, messy):
             table.select("flag").collect()
 
 
+AWKWARD = [
+    ' padded ', 'say "x"', "a,b\n\nc", "back\\slash", "tab\t", "é ", "", None, "cr\rx",
+    "crlf\r\ny", "\n", '"', '\\"', "#c", "'", "NULL", "end\\", ",", '""', 'a"b,c\\"d',
+    "end\r", "\r\n", "long\n" * 30,
+]
+
+
+@pytest.mark.parametrize("quote_all", [True, False])
+@pytest.mark.parametrize("block", [7, 64, 1_000_000])
+def test_blocks_give_the_records_of_whole_files(spark, tmp_path, quote_all, block):
+    path = str(tmp_path / "raw")
+    data = [(str(i), text, str(i + 1)) for i, text in enumerate(AWKWARD * 3)]
+    df = spark.createDataFrame(data, "id string, text string, z string")
+    df.repartition(2).write.options(
+        header=True, quoteAll=quote_all, escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": str(block),
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    with sql_settings(spark, settings):
+        blocks = read_csv_raw(spark, path, tasks="blocks")
+        whole = read_csv_raw(spark, path)
+        assert blocks.columns == whole.columns
+        assert rows(blocks) == rows(whole)
+        assert blocks.count() == len(data)
+
+
+def test_blocks_of_a_file_with_crlf_and_no_last_newline(spark, tmp_path):
+    text = 'id,note\r\n1,"a\r\nb"\r\n\r\n2,plain\r\n"3","x""y"'
+    (tmp_path / "raw.csv").write_bytes(text.encode())
+    with sql_settings(spark, {"spark.sql.files.maxPartitionBytes": "9"}):
+        table = read_csv_raw(spark, str(tmp_path / "raw.csv"), tasks="blocks")
+        assert rows(table) == [("1", "a\r\nb"), ("2", "plain"), ("3", 'x"y')]
+
+
+def test_blocks_refuse_another_header(spark, messy):
+    (Path(messy) / "two.csv").write_text("flag,id,count,note,seconds\ntrue,9,1,n,0\n")
+    with pytest.raises(Exception, match="unexpected CSV header"):
+        read_csv_raw(spark, messy, tasks="blocks").collect()
+
+
+def test_unknown_tasks_are_refused(spark, messy):
+    with pytest.raises(ValueError):
+        read_csv_raw(spark, messy, tasks="rows")
+
+
 def test_without_multi_line_files_are_split(spark, tmp_path):
     path = str(tmp_path / "raw")
     write_csv_raw(spark.range(20_000).coalesce(1).selectExpr("id", "id * 2 as v"), path)
     with sql_settings(spark, {"spark.sql.files.maxPartitionBytes": "65536"}):
         whole = read_csv_raw(spark, path)
-        split = read_csv_raw(spark, path, multi_line=False)
+        split = read_csv_raw(spark, path, tasks="lines")
         assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
         assert rows(whole) == rows(split)
 
