@@ -8,6 +8,7 @@ that Spark derives from lineitem, NULLs included; their oracles derive the same
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -848,6 +849,22 @@ _report(
 )
 
 
+# ---- training-data operators ---------------------------------------------------------
+# They and the pipeline live in a subpackage that may be absent.
+
+if find_spec("factlab.llm"):
+    from factlab.llm.queries import ORACLES, QUERIES
+
+    _QUERIES.update(QUERIES)
+    _ORACLES.update(ORACLES)
+if find_spec("corpus_pipeline"):
+    import corpus_pipeline
+
+    _QUERIES["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 # ---- contract --------------------------------------------------------------------
 
 
