@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factlab.llm.common import importable, read_table
+from factlab.llm.common import importable, read_table, stored
 from factlab.llm.mixing import mix, taken_words
+from factlab.llm.packing import pack
 from factlab.llm.token_counts import count_tokens
+from factlab.llm.token_files import read_token_files, write_token_files
+from factlab.sources.scratch import fresh_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +101,35 @@ select doc_id, size, source_size::bigint as source_size, target,
           else 0 end)::bigint as taken
 from drawn
 """
+
+
+# ---- token files and packing --------------------------------------------------
+
+
+@_query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    folder = fresh_path(spark, "token-files")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = stored(write_token_files(docs, folder, tokenizer, end_id=0), "token-manifest")
+    return read_token_files(manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def pieces_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
+@_query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pieces_digest(pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
