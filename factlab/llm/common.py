@@ -45,3 +45,13 @@ def importable(spark: SparkSession) -> None:
     if root not in known.split(os.pathsep):
         parts = [x for x in (root, known) if x]
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(parts)
+
+
+def by_place(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named by place, so that no name of theirs can clash."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def place_of(docs: DataFrame, column: str) -> str:
+    """The name that ``by_place`` gives a column."""
+    return f"c{docs.columns.index(column)}"

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from factlab.llm import simhash
 from factlab.llm.common import importable, read_table, stored
 from factlab.llm.mixing import mix, taken_words
 from factlab.llm.packing import pack
@@ -133,3 +134,11 @@ def pieces_digest(pieces: DataFrame) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return pieces_digest(pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
+
+
+# ---- near-duplicates ----------------------------------------------------------
+
+
+@_query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(read_table(spark, sf_dir, "documents"))
