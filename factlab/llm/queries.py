@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factlab.llm import simhash
+from factlab.llm import importance, line_crf, simhash
 from factlab.llm.common import importable, read_table, stored
 from factlab.llm.mixing import mix, taken_words
 from factlab.llm.packing import pack
@@ -142,3 +142,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(read_table(spark, sf_dir, "documents"))
+
+
+# ---- quality ------------------------------------------------------------------
+
+
+@_query
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    crf = line_crf.train(docs, read_table(spark, sf_dir, "labels"))
+    return line_crf.judged(docs, crf)
+
+
+@_query
+def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resampled(docs, read_table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "log_weight", "draw", "kept")
