@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factlab.llm import importance, line_crf, simhash
+from factlab.llm import ann, importance, license_scan, line_crf, simhash
 from factlab.llm.common import importable, read_table, stored
 from factlab.llm.mixing import mix, taken_words
 from factlab.llm.packing import pack
@@ -159,3 +159,30 @@ def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     drawn = importance.resampled(docs, read_table(spark, sf_dir, "labels"))
     return drawn.select("doc_id", "log_weight", "draw", "kept")
+
+
+# ---- licenses -----------------------------------------------------------------
+
+
+@_query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+# ---- nearest neighbours -------------------------------------------------------
+
+
+@_query
+def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, F.col("vec_id") % 100 == 0)
