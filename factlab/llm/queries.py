@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factlab.llm import ann, importance, license_scan, line_crf, simhash
+from factlab.llm import ann, importance, license_scan, line_crf, simhash, url_filter
 from factlab.llm.common import importable, read_table, stored
 from factlab.llm.mixing import mix, taken_words
 from factlab.llm.packing import pack
@@ -186,3 +186,20 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
+# ---- urls ---------------------------------------------------------------------
+
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+@_query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    judged = url_filter.judged(pages, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
