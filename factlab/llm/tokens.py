@@ -20,14 +20,24 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import cache
 
+import regex
+
 #: A cut may stand before a space between two of these.
 PLAIN = r"[\w!-~]"
 _CUT = re.compile(rf"(?<={PLAIN})(?= {PLAIN})")
 _PLAIN_ENDS = re.compile(rf"{PLAIN}(?s:.*{PLAIN})?")
 #: Fixed value: the split of ``word_bpe_49k.json``, which leaves white space out.
 _DROPPING_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Fixed value: the split of byte-level vocabularies.
+_BYTE_LEVEL_SPLIT = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+#: A word of printed ASCII and Latin-1 letters, which lower-case and split alike everywhere;
+#: none with the mark that special strings start with. Newlines stand in byte-level words.
+_LATIN = re.compile(r" ?[\n!-;=-~À-ÖØ-öø-ÿ]+")
 #: Words whose ids a worker keeps. Beyond it the later half goes: common words come early.
 MEMO_WORDS = 500_000
 
@@ -40,7 +50,7 @@ def cut_mode(path: str) -> str | None:
         spec = json.load(file)
     special = [token["content"] for token in spec["added_tokens"]]
     plain = not any(token["lstrip"] or token["rstrip"] for token in spec["added_tokens"])
-    if not plain or any(re.search(r"\s", text) for text in special):
+    if not plain or any(re.search(r"\s", text) or text[0] != "<" for text in special):
         return None
     split, normal = spec["pre_tokenizer"] or {}, spec["normalizer"]
     if split.get("type") == "ByteLevel":
@@ -69,22 +79,38 @@ def cuts(text: str, mode: str) -> set[int]:
     return {match.start() for match in _CUT.finditer(text)}
 
 
+class _Memo(dict):
+    """Ids by word, made when a word is first met."""
+
+    def __init__(self, make: Callable[[str], bytes | None]):
+        self._make = make
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self[word] = self._make(word)
+        return ids
+
+    def shrink(self) -> None:
+        if len(self) > MEMO_WORDS:
+            for word in list(self)[MEMO_WORDS // 2 :]:
+                del self[word]
+
+
 class Codec:
     """Ids of whole texts, without begin, end or added special tokens.
 
     Special strings inside a text are handled as the library does by default;
-    nothing is cut off or padded.
+    nothing is cut off or padded. Words of plain Latin characters are split by the
+    tokenizer's pattern and go straight to the library's model; all others take the
+    library's whole way.
     """
 
     def __init__(self, path: str):
         self.mode = cut_mode(path)
-        self._spaced: dict[str, bytes | None] = {}
-        self._exact: dict[str, bytes] = {}
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
-            self._encode = lambda texts: model.encode(texts, num_threads=1)
+            self._whole = lambda text: _packed(model.encode(text, num_threads=1))
             return
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -92,44 +118,55 @@ class Codec:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self._encode = lambda texts: [
-            x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)
-        ]
+        self._whole = lambda text: _packed(self.library.encode(text, add_special_tokens=False).ids)
+        if self.mode:
+            model, letters = self.library.model, _byte_letters().__getitem__
+            pattern = _DROPPING_SPLIT if self.mode == "dropped" else _BYTE_LEVEL_SPLIT
+            self._split = regex.compile(pattern).findall
+            self._pieces = _Memo(
+                lambda piece: _packed(
+                    [x.id for x in model.tokenize("".join(map(letters, piece.encode())))]
+                )
+            )
+            self._exact = _Memo(self._word)
+            # A word at whose ends the cut is not proven has no ids of its own.
+            self._spaced = _Memo(
+                lambda word: self._word(f" {word}") if _PLAIN_ENDS.fullmatch(word) else None
+            )
+
+    def _word(self, word: str) -> bytes:
+        if not _LATIN.fullmatch(word):
+            return self._whole(word)
+        pieces = self._split(word.lower() if self.mode == "dropped" else word)
+        return b"".join(map(self._pieces.__getitem__, pieces))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if not self.mode:
+            return self._whole(text)
+        for memo in (self._pieces, self._exact, self._spaced):
+            memo.shrink()
         if self.mode == "dropped":
-            return self._known(text.replace("\n", " ").split(" "), self._exact)
-        if self.mode == "spaced":
-            first, *rest = text.split(" ")
-            if not rest:
-                return self._known([first], self._exact)
-            found = self._known(rest, self._spaced)
-            if found is not None and _plain_end(first):
-                return self._known([first], self._exact) + found
-            return self._known(_CUT.split(text), self._exact)
-        return _packed(self._encode([text])[0])
-
-    def _known(self, words: list[str], memo: dict) -> bytes | None:
-        if len(memo) > MEMO_WORDS:
-            for word in list(memo)[MEMO_WORDS // 2 :]:
-                del memo[word]
-        new = list(set(words).difference(memo))
-        if new and memo is self._spaced:
-            # A word at whose ends the cut is not proven has no ids of its own.
-            sure = [word for word in new if _PLAIN_ENDS.fullmatch(word)]
-            memo.update(dict.fromkeys(new))
-            memo.update(zip(sure, map(_packed, self._encode([f" {x}" for x in sure]))))
-        elif new:
-            memo.update(zip(new, map(_packed, self._encode(new))))
-        try:
-            return b"".join(map(memo.__getitem__, words))
-        except TypeError:
-            return None
-
-
-def _plain_end(word: str) -> bool:
-    return bool(word) and bool(re.match(PLAIN, word[-1]))
+            return b"".join(map(self._exact.__getitem__, text.replace("\n", " ").split(" ")))
+        first, *rest = text.split(" ")
+        if not rest:
+            return self._exact[first]
+        if _PLAIN_ENDS.fullmatch(first):
+            try:
+                return self._exact[first] + b"".join(map(self._spaced.__getitem__, rest))
+            except TypeError:
+                pass
+        return b"".join(map(self._exact.__getitem__, _CUT.split(text)))
+
+
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte.
+
+    Bytes that print stand for themselves, the others for the letters from 256 on.
+    """
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printed]
+    return [chr(byte if byte in printed else 256 + others.index(byte)) for byte in range(256)]
 
 
 def _packed(ids: list[int]) -> bytes:
