@@ -199,7 +199,7 @@ def _between(starts: list[int], ends: list[int], place: int) -> bool:
     return i == 0 or ends[i - 1] <= place
 
 
-def _splice(tail, head) -> int | None:
+def _splice(tail, head):
     """Tokens that both neighbours have between them too many; None without a common place."""
     before = {spot["at"]: spot["n"] for spot in head}
     common = [(spot["at"], spot["n"]) for spot in tail if spot["at"] in before]
