@@ -89,7 +89,7 @@ def mix(
     goal = F.sum("source_size") * F.lit(share)
     filled = water_fill(sources, goal, max_epochs)
     filled = filled.withColumn(
-        "epochs", F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("long")
+        "epochs", F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long")
     ).withColumn(
         "rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")
     )

@@ -1,0 +1,216 @@
+"""Line labelling and importance resampling."""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+from itertools import product
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from odd_tables import LABELS, ODD_ROWS, empty, odd, sf, table
+
+from factlab.llm import importance, line_crf, queries
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SF = "/root/testdata/sf0.01"
+
+
+# ---- line labelling --------------------------------------------------------------
+
+
+def slow_base(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    counts = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(5)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(repeated),
+    )
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="aab éÉ#|\n\t\x1c\x85 ", max_size=80))
+def test_base_figures(text):
+    assert tuple(line_crf.measured(text)[0]) == slow_base(text)
+
+
+def random_crf(seed):
+    rng = np.random.default_rng(seed)
+    return line_crf.Crf(
+        rng.normal(size=(2, line_crf.N_BINS)), rng.normal(size=2), rng.normal(size=(2, 2))
+    )
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_viterbi_finds_the_best_sequence(seed):
+    crf, rng = random_crf(seed), np.random.default_rng(seed)
+    scores = rng.normal(size=(7, 2))
+
+    def total(labels):
+        steps = sum(crf.after[a, b] for a, b in zip(labels, labels[1:]))
+        return crf.first[labels[0]] + steps + sum(scores[i, x] for i, x in enumerate(labels))
+
+    best = max(product((0, 1), repeat=7), key=total)
+    assert tuple(line_crf.viterbi(scores, crf)) == best
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_expected_counts_equal_enumeration(seed):
+    crf, rng = random_crf(seed), np.random.default_rng(seed)
+    lengths = [4, 3, 1]
+    scores = rng.normal(size=(3, 4, 2))
+    got = line_crf._expected(scores, crf.first, crf.after, np.array([3, 2, 2, 1]))
+    steps, first = np.zeros((2, 2)), np.zeros(2)
+    for row, n in enumerate(lengths):
+        weights = {}
+        for labels in product((0, 1), repeat=n):
+            score = crf.first[labels[0]] + sum(scores[row, i, x] for i, x in enumerate(labels))
+            score += sum(crf.after[a, b] for a, b in zip(labels, labels[1:]))
+            weights[labels] = math.exp(score)
+        z = sum(weights.values())
+        for labels, weight in weights.items():
+            first[labels[0]] += weight / z
+            for a, b in zip(labels, labels[1:]):
+                steps[a, b] += weight / z
+    assert np.allclose(got.first, first) and np.allclose(got.steps, steps)
+
+
+def test_training_learns_lines():
+    """Boilerplate comes in blocks; the field finds them on lines it has not seen."""
+    rng = np.random.default_rng(1)
+
+    def sample(n):
+        labels = np.repeat(rng.integers(0, 2, 1 + n // 10), 10)[:n]
+        marks = np.where(rng.random(n) < 0.8, labels, 1 - labels)
+        bins = np.tile(line_crf._BASES[:-1], (n, 1))
+        bins[:, 1] += marks
+        return bins, labels
+
+    known = [sample(int(n)) for n in rng.integers(1, 40, 200)]
+    crf = line_crf.fit([x for x, _ in known], [y for _, y in known])
+    right = total = 0
+    for bins, labels in (sample(40) for _ in range(50)):
+        found = line_crf.viterbi(crf.bins[:, bins].sum(axis=2).T, crf)
+        right, total = right + (found == labels).sum(), total + len(labels)
+    assert right / total > 0.87  # a line alone is right at 0.8
+
+
+def test_judged_odd_rows(spark):
+    crf = line_crf.train(sf(spark, "documents"), sf(spark, "labels"))
+    got = line_crf.judged(odd(spark), crf).collect()
+    assert Counter((row.doc_id, *row[1:6]) for row in got) == Counter(
+        (i, *slow_base(text)) for i, text, _ in ODD_ROWS
+    )
+    kept = {row.doc_id for row in got if row.kept}
+    assert kept == {row.doc_id for row in line_crf.clean(odd(spark), crf).collect()}
+    assert {1, None} <= kept <= {1, None, 7}
+    assert line_crf.clean(odd(spark), crf).columns == odd(spark).columns
+    for result in (line_crf.judged, line_crf.clean, line_crf.labelled_lines):
+        assert result(empty(spark), crf).collect() == []
+    lines = line_crf.labelled_lines(odd(spark), crf).where("doc_id = 7").collect()
+    assert [(row.place, row.line) for row in lines] == [
+        (0, ODD_ROWS[8][1].split("\n")[0]), (2, ODD_ROWS[8][1].split("\n")[2])
+    ]
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1)], [(1, 0)], [(None, 0), (1, None)]])
+def test_without_both_labels_the_base_rules_decide(spark, labels):
+    assert line_crf.train(odd(spark), table(spark, labels, LABELS)) is None
+    assert line_crf.judged(odd(spark), None).where("kept = base_failed").count() == 0
+
+
+def test_op1_query(spark):
+    texts = dict(map(tuple, sf(spark, "documents").select("doc_id", "text").collect()))
+    rows = queries.QUERIES["op1_line_crf"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        base = slow_base(texts[row.doc_id])
+        assert row[1:6] == base
+        failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
+        assert row.base_failed == failed and not (failed and row.kept)
+
+
+def quality(spark, kept_ids):
+    """Share kept of labelled good documents and of bad ones."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    share = {}
+    for value in (1, 0):
+        ids = {row.doc_id for row in labels if row.quality == value}
+        share[value] = len(ids & kept_ids) / len(ids)
+    return share
+
+
+def test_line_labels_part_good_from_bad(spark):
+    rows = queries.QUERIES["op1_line_crf"](spark, SF).collect()
+    share = quality(spark, {row.doc_id for row in rows if row.kept or row.base_failed and row.n_words < 10})
+    assert share[1] > 0.98 and share[0] < 0.05
+
+
+# ---- importance resampling -------------------------------------------------------
+
+
+@pytest.mark.parametrize("k", [1, 7, 500, 999, 1000])
+def test_kth_greatest(spark, k):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(size=500), np.full(300, 0.25), rng.normal(size=200) * 1e9])
+    df = spark.createDataFrame([(float(x),) for x in values], "x double").repartition(4)
+    assert importance.kth_greatest(df, "x", k) == sorted(values)[-k]
+
+
+def test_gumbel_draw_follows_the_weights(spark):
+    """Ids with weight log 3 come first about three times as often as those with 0."""
+    df = spark.range(20_000).selectExpr("id", "id div 2 as pair", "if(id % 2 = 0, ln(3), 0) as w")
+    won = df.withColumn("draw", importance.gumbel("id", 5) + df.w).groupBy("pair")
+    share = won.agg({"draw": "max", "*": "count"}).count()
+    first = df.withColumn("draw", importance.gumbel("id", 5) + df.w)
+    first = first.groupBy("pair").agg({"draw": "max"}).withColumnRenamed("max(draw)", "best")
+    wins = df.withColumn("draw", importance.gumbel("id", 5) + df.w).join(first, "pair")
+    assert share == 10_000
+    assert abs(wins.where("draw = best and id % 2 = 0").count() / share - 0.75) < 0.02
+
+
+def test_weights_equal_plain_counting(spark):
+    docs = [(i, text, "s") for i, text in enumerate(["a b a b", "c d! c", None, "a a a"])]
+    df = table(spark, docs).selectExpr("*", "doc_id = 0 as chosen")
+    got = importance.fit(df, df.chosen)
+    raw, chosen = Counter(), Counter()
+    for i, text, _ in docs:
+        raw.update(importance.ngrams(text or "").tolist())
+        chosen.update(importance.ngrams(text or "").tolist() if i == 0 else [])
+    n, smooth = importance.BUCKETS, importance.SMOOTHING
+    for bucket in (0, *raw):
+        p = (raw[bucket] + 1) / (sum(raw.values()) + n)
+        q = (chosen[bucket] + smooth * n * p) / (sum(chosen.values()) + smooth * n)
+        assert got[bucket] == pytest.approx(math.log(q / p), abs=1e-9)
+
+
+def test_resampling_odd_rows(spark):
+    labels = table(spark, [(1, 1), (8, 0), (1, 1), (None, 1), (2, None)], LABELS)
+    got = importance.resampled(odd(spark), labels, share=0.5)
+    # The last column that is called kept is the added one.
+    kept = [row for row in got.collect() if row[-1]]
+    # The repeated rows tie at the last place, so both are taken.
+    assert len(kept) in (5, 6) and got.columns == [*odd(spark).columns, "log_weight", "draw", "kept"]
+    again = importance.resampled(odd(spark), labels, share=0.5).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got.collect()))
+    for share in (None, 0.0, 1.0):
+        assert importance.resampled(empty(spark), labels, share=share).collect() == []
+    none = importance.resampled(odd(spark), table(spark, [], LABELS))
+    assert {row[-3] for row in none.collect()} == {0.0} and all(row[-1] for row in none.collect())
+
+
+def test_op9_keeps_good_documents(spark):
+    rows = queries.QUERIES["op9_importance"](spark, SF).collect()
+    assert len(rows) == 1000
+    share = quality(spark, {row.doc_id for row in rows if row.kept})
+    assert share[1] > 0.97 and share[0] < 0.4
