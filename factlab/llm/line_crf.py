@@ -171,52 +171,69 @@ def content_share(bins: np.ndarray, words: np.ndarray, crf: Crf | None) -> float
 # ---- training -------------------------------------------------------------------
 
 
+class _Layout(NamedTuple):
+    """Lines of all sequences in one row: first lines, then second ones, and so on.
+
+    Sequences come longest first, so those that reach a place are the first ones.
+    """
+
+    starts: np.ndarray  # of each place
+    n_at: np.ndarray  # sequences that reach it
+    row: np.ndarray  # the sequence of each line
+    later: np.ndarray  # lines that have a line before
+    before: np.ndarray  # that line
+
+
+def _layout(lengths: np.ndarray) -> _Layout:
+    n_at = (lengths[:, None] > np.arange(lengths[0])).sum(axis=0)
+    starts = np.cumsum(n_at) - n_at
+    row = np.arange(n_at.sum()) - np.repeat(starts, n_at)
+    later = np.arange(n_at[0], n_at.sum())
+    before = np.repeat(starts[:-1], n_at[1:]) + row[n_at[0] :]
+    return _Layout(starts, n_at, row, later, before)
+
+
 def fit(lines: list[np.ndarray], labels: list[np.ndarray], chain: bool = True) -> Crf:
     """The field of greatest likelihood, by gradient ascent with momentum and decay.
 
-    Sequences are padded to the longest one; sums run forward and backward over all of
-    them at once. Without ``chain`` lines do not depend on each other.
+    Sums run forward and backward over all sequences at once. Without ``chain`` lines do
+    not depend on each other. Lines of equal bins are scored once.
     """
     order = np.argsort([-len(x) for x in lines], kind="stable")
-    length = max(map(len, lines))
-    bins = np.full((len(lines), length, len(_BOUNDS)), N_BINS)
-    truth = np.full((len(lines), length), -1)
-    for row, i in enumerate(order):
-        bins[row, : len(lines[i])] = lines[i]
-        truth[row, : len(labels[i])] = labels[i]
-    here = truth >= 0
-    n_at = here.sum(axis=0)  # sequences that reach a place come first
-    total = here.sum()
-    one = np.stack([truth == 0, truth == 1], axis=2).astype(float)
-    steps = one[:, :-1, :, None] * one[:, 1:, None, :]
-    seen = _Sums(one, one[:, 0].sum(axis=0), steps.sum(axis=(0, 1)))
-    weights = np.zeros((2, N_BINS + 1)), np.zeros(2), np.zeros((2, 2))
+    layout = _layout(np.array([len(lines[i]) for i in order]))
+    place = np.repeat(np.arange(len(layout.n_at)), layout.n_at)
+    offsets = np.concatenate([[0], np.cumsum([len(lines[i]) for i in order])])
+    at = offsets[layout.row] + place
+    kinds, kind = np.unique(np.concatenate([lines[i] for i in order])[at], axis=0, return_inverse=True)
+    kind = kind.reshape(-1)
+    truth = np.eye(2)[np.concatenate([labels[i] for i in order])[at]]
+    held = np.zeros((len(kinds), N_BINS))
+    held[np.arange(len(kinds))[:, None], kinds] = 1
+    n = layout.n_at[0]
+    seen = _Sums(truth, truth[:n].sum(axis=0), truth[layout.before].T @ truth[layout.later])
+    weights = np.zeros((N_BINS, 2)), np.zeros(2), np.zeros((2, 2))
     moved = [np.zeros_like(x) for x in weights]
     squares = [np.zeros_like(x) for x in weights]
     for step in range(1, 101):
-        scores = weights[0][:, bins].sum(axis=3).transpose(1, 2, 0)
-        expected = _expected(scores, weights[1], weights[2], n_at)
-        gap = (seen.lines - expected.lines) * here[:, :, None]
-        by_bin = np.stack(
-            [
-                np.bincount(
-                    bins.reshape(-1),
-                    np.repeat(gap[:, :, label].reshape(-1), len(_BOUNDS)),
-                    N_BINS + 1,
-                )
-                for label in (0, 1)
-            ]
-        )
-        slopes = [by_bin, seen.first - expected.first, seen.steps - expected.steps]
-        if not chain:
-            slopes[1:] = [np.zeros(2), np.zeros((2, 2))]
+        scores = (held @ weights[0])[kind]
+        if chain:
+            expected = _expected(scores, weights[1], weights[2], layout)
+        else:
+            alone = np.exp(scores - np.logaddexp(scores[:, :1], scores[:, 1:]))
+            expected = _Sums(alone, seen.first, seen.steps)
+        gap = seen.lines - expected.lines
+        by_kind = [np.bincount(kind, gap[:, label], len(kinds)) for label in (0, 1)]
+        slopes = [
+            held.T @ np.stack(by_kind, axis=1),
+            seen.first - expected.first,
+            seen.steps - expected.steps,
+        ]
         for x, slope, m, s in zip(weights, slopes, moved, squares):
-            slope = slope / total - 1e-4 * x
+            slope = slope / len(kind) - 1e-4 * x
             m += 0.1 * (slope - m)
             s += 0.01 * (slope**2 - s)
             x += 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
-        weights[0][:, N_BINS] = 0
-    return Crf(weights[0][:, :N_BINS], *weights[1:])
+    return Crf(weights[0].T.copy(), *weights[1:])
 
 
 class _Sums(NamedTuple):
@@ -225,27 +242,35 @@ class _Sums(NamedTuple):
     steps: np.ndarray
 
 
-def _expected(scores, first, after, n_at) -> _Sums:
+def _expected(scores: np.ndarray, first: np.ndarray, after: np.ndarray, layout: _Layout) -> _Sums:
     """Expected labels, first labels and steps under the field."""
-    n, length, _ = scores.shape
-    ahead, behind = np.zeros_like(scores), np.zeros_like(scores)
-    ahead[:, 0] = scores[:, 0] + first
-    for t in range(1, length):
-        k = n_at[t]
-        x = ahead[:k, t - 1]
-        ahead[:k, t] = scores[:k, t] + np.logaddexp(x[:, :1] + after[0], x[:, 1:] + after[1])
-    for t in range(length - 2, -1, -1):
-        k = n_at[t + 1]
-        x = behind[:k, t + 1] + scores[:k, t + 1]
-        behind[:k, t] = np.logaddexp(x[:, :1] + after[:, 0], x[:, 1:] + after[:, 1])
-    log_z = np.logaddexp(*(ahead[:, 0] + behind[:, 0]).T)[:, None]
-    lines = np.exp(ahead + behind - log_z[:, :, None])
-    steps = np.zeros((2, 2))
-    for t in range(1, length):
-        k = n_at[t]
-        x = ahead[:k, t - 1, :, None] + after + (scores + behind)[:k, t, None, :]
-        steps += np.exp(x - log_z[:k, :, None]).sum(axis=0)
-    return _Sums(lines, lines[:, 0].sum(axis=0), steps)
+    starts, n_at = layout.starts.tolist(), layout.n_at.tolist()
+    ahead, behind = scores.copy(), np.zeros_like(scores)
+    n = n_at[0]
+    ahead[:n] += first
+    for t in range(1, len(n_at)):
+        x = ahead[starts[t - 1] : starts[t - 1] + n_at[t]]
+        ahead[starts[t] : starts[t] + n_at[t]] += np.logaddexp(
+            x[:, :1] + after[0], x[:, 1:] + after[1]
+        )
+    for t in range(len(n_at) - 2, -1, -1):
+        here = slice(starts[t + 1], starts[t + 1] + n_at[t + 1])
+        x = behind[here] + scores[here]
+        behind[starts[t] : starts[t] + n_at[t + 1]] = np.logaddexp(
+            x[:, :1] + after[:, 0], x[:, 1:] + after[:, 1]
+        )
+    log_z = np.logaddexp(*(ahead[:n] + behind[:n]).T)[layout.row][:, None]
+    lines = np.exp(ahead + behind - log_z)
+    # The sum of a step is the product of what leads to it and what follows, over z.
+    onward = (scores + behind - log_z)[layout.later]
+    ahead = ahead[layout.before]
+    steps = np.array(
+        [
+            [np.exp(ahead[:, i] + after[i, j] + onward[:, j]).sum() for j in (0, 1)]
+            for i in (0, 1)
+        ]
+    )
+    return _Sums(lines, lines[:n].sum(axis=0), steps)
 
 
 def train(

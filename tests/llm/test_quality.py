@@ -69,7 +69,9 @@ def test_expected_counts_equal_enumeration(seed):
     crf, rng = random_crf(seed), np.random.default_rng(seed)
     lengths = [4, 3, 1]
     scores = rng.normal(size=(3, 4, 2))
-    got = line_crf._expected(scores, crf.first, crf.after, np.array([3, 2, 2, 1]))
+    # First lines of all sequences, then second lines, and so on.
+    flat = np.array([scores[i, t] for t in range(4) for i in range(3) if t < lengths[i]])
+    got = line_crf._expected(flat, crf.first, crf.after, line_crf._layout(np.array(lengths)))
     steps, first = np.zeros((2, 2)), np.zeros(2)
     for row, n in enumerate(lengths):
         weights = {}
