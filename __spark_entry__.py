@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib.util import find_spec
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +39,7 @@ from factlab.operators import (
     moving_average,
     period_summary,
     preview,
+    shared,
     top_k,
     top_ranked,
 )
@@ -140,7 +140,7 @@ def q12_try_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _table(spark, sf_dir, "documents").select(
         "doc_id",
         F.col("source").alias("whole"),
-        F.substring("source", 4, 1 << 20).alias("tail"),
+        F.expr("substring(source, 4)").alias("tail"),
         F.lower(F.upper("source")).alias("lowered"),
     )
     return cast_columns(texts, {"whole": "int", "tail": "int"})
@@ -213,8 +213,8 @@ def q22_footer_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- aggregates --------------------------------------------------------------
 
-_PART_STATS = """select l_partkey, round(avg(l_discount), 4) as avg_discount, count(*) as n,
-         round(avg(l_quantity), 2) as avg_quantity,
+_PART_STATS = """select l_partkey, round(avg(l_discount)::decimal(38, 12), 4)::double as avg_discount, count(*) as n,
+         round(avg(l_quantity)::decimal(38, 12), 2)::double as avg_quantity,
          cast(sum(l_linenumber) as bigint) as sum_lines
   from lineitem group by l_partkey having count(*) >= {min_rows}"""
 
@@ -238,8 +238,8 @@ def q02_grouped_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(
     "q02_zero",
     """select l_partkey, count(*) as n,
-              round(avg(coalesce(nullif(l_discount, 0), 0)), 4) as avg_discount,
-              round(sum(coalesce(nullif(l_discount, 0), 0)), 2) as sum_discount
+              round(avg(coalesce(nullif(l_discount, 0), 0))::decimal(38, 12), 4)::double as avg_discount,
+              round(sum(coalesce(nullif(l_discount, 0), 0))::decimal(38, 12), 2)::double as sum_discount
        from lineitem group by l_partkey""",
 )
 def q02_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,8 +248,8 @@ def q02_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(
     "q02_skip",
-    """select l_partkey, count(*) as n, round(avg(nullif(l_discount, 0)), 4) as avg_discount,
-              round(sum(nullif(l_discount, 0)), 2) as sum_discount
+    """select l_partkey, count(*) as n, round(avg(nullif(l_discount, 0))::decimal(38, 12), 4)::double as avg_discount,
+              round(sum(nullif(l_discount, 0))::decimal(38, 12), 2)::double as sum_discount
        from lineitem group by l_partkey""",
 )
 def q02_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,8 +268,8 @@ def _nullable_stats(spark: SparkSession, sf_dir: str, nulls: str) -> DataFrame:
 
 
 _FLAG_STATS = """select l_suppkey, l_returnflag, count(*) as n,
-         round(avg(l_discount), 4) as avg_discount,
-         round({std}(l_discount), 4) as std_discount
+         round(avg(l_discount)::decimal(38, 12), 4)::double as avg_discount,
+         round({std}(l_discount)::decimal(38, 12), 4)::double as std_discount
   from lineitem group by l_suppkey, l_returnflag"""
 
 
@@ -321,7 +321,7 @@ def q16_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ORDERS_1997 = """select cast(year(o_orderdate) as int) as order_year,
          cast(month(o_orderdate) as int) as order_month,
-         count(*) as n, round(avg(o_totalprice), 4) as avg_price
+         count(*) as n, round(avg(o_totalprice)::decimal(38, 12), 4)::double as avg_price
   from orders where year(o_orderdate) = 1997
   group by year(o_orderdate), month(o_orderdate)"""
 _PERIOD = ["order_year", "order_month"]
@@ -349,8 +349,8 @@ def q15_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(
     "q04_top_k",
     """select l_partkey, n, round(n * avg_discount * ln(avg_quantity + 1), 2) as engagement
-       from (select l_partkey, count(*) as n, round(avg(l_discount), 4) as avg_discount,
-                    round(avg(l_quantity), 2) as avg_quantity
+       from (select l_partkey, count(*) as n, round(avg(l_discount)::decimal(38, 12), 4)::double as avg_discount,
+                    round(avg(l_quantity)::decimal(38, 12), 2)::double as avg_quantity
              from lineitem group by l_partkey having count(*) >= 20) as parts
        order by engagement desc, l_partkey limit 10""",
 )
@@ -439,8 +439,8 @@ def q06_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(
     "q24_preview",
     """select l_suppkey, l_returnflag, count(*) as n,
-              round(avg(l_discount), 4) as avg_discount,
-              round(stddev_samp(l_discount), 4) as std_discount
+              round(avg(l_discount)::decimal(38, 12), 4)::double as avg_discount,
+              round(stddev_samp(l_discount)::decimal(38, 12), 4)::double as std_discount
        from lineitem group by l_suppkey, l_returnflag
        order by n desc, l_suppkey, l_returnflag limit 20""",
 )
@@ -458,9 +458,9 @@ def q24_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ABOVE_MEAN = f"""with elite as ({_ELITE_ITEMS}),
   parts as (
-    select l_partkey, round(avg(l_discount), 4) as avg_discount from lineitem
+    select l_partkey, round(avg(l_discount)::decimal(38, 12), 4)::double as avg_discount from lineitem
     group by l_partkey having count(*) >= 20
-       and round(avg(l_discount), 4) > (select avg(l_discount) from lineitem))
+       and round(avg(l_discount)::decimal(38, 12), 4)::double > (select avg(l_discount) from lineitem))
   select e.*, p.avg_discount from elite as e join parts as p on e.l_partkey = p.l_partkey"""
 
 
@@ -476,14 +476,17 @@ def q07_above_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _above_mean(spark, sf_dir, _elite_items(spark, sf_dir))
 
 
-@_query("q20_cached", _ABOVE_MEAN)
+@_query(
+    "q20_cached",
+    f"select *, cast((select count(*) from ({_ELITE_ITEMS})) as bigint) as n_elite from ({_ABOVE_MEAN})",
+)
 def q20_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """q07 reading kept elite rows. The caller of this function runs the result, so the
-    rows stay kept; ``operators.shared`` releases them where the use is in one place."""
-    elite = _elite_items(spark, sf_dir)
-    if elite.storageLevel == StorageLevel.NONE:
-        elite = elite.persist(StorageLevel.MEMORY_AND_DISK)
-    return _above_mean(spark, sf_dir, elite)
+    """q07 and the count of q01 on elite rows that are kept while both read them."""
+    path = fresh_path(spark, "elite")
+    with shared(_elite_items(spark, sf_dir)) as elite:
+        n = elite.agg(F.count(F.lit(1)).alias("n")).scalar()
+        write_table(_above_mean(spark, sf_dir, elite).withColumn("n_elite", n), path)
+    return read_table(spark, path)
 
 
 @_query(
@@ -572,8 +575,9 @@ def q11_ingest_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q18_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     register(_table(spark, sf_dir, "lineitem"), "factlab_lineitem")
     return spark.sql(
-        """select l_partkey, round(avg(l_discount), 4) as avg_discount, count(*) as n,
-                  round(avg(l_quantity), 2) as avg_quantity, sum(l_linenumber) as sum_lines
+        """select l_partkey, round(round(avg(l_discount), 12), 4) as avg_discount,
+                  count(*) as n, round(round(avg(l_quantity), 10), 2) as avg_quantity,
+                  sum(l_linenumber) as sum_lines
            from factlab_lineitem group by l_partkey having n >= :min_rows""",
         args={"min_rows": 35},
     )
@@ -642,8 +646,8 @@ _ELITE_REVIEWS = """elite as (
   from reviews where playtime_forever >= 3000 and voted_up and length(review) >= 100
     and cast(weighted_vote_score as double) >= cast(0.7 as double))"""
 _GAMES = """games as (
-  select appid, round(avg({score}), 4) as avg_helpfulness, count(*) as total_reviews,
-         round(avg(playtime_forever), 2) as avg_playtime_mins,
+  select appid, round(avg({score})::decimal(38, 12), 4)::double as avg_helpfulness, count(*) as total_reviews,
+         round(avg(playtime_forever)::decimal(38, 12), 2)::double as avg_playtime_mins,
          cast(sum({votes}) as bigint) as total_votes_up
   from reviews group by appid having count(*) >= 50)"""
 _GAMES_SKIP = _GAMES.format(score="weighted_vote_score", votes="votes_up")
@@ -652,9 +656,9 @@ _ENGAGED = """select *, round(total_reviews * avg_helpfulness * ln(avg_playtime_
          as engagement_score
   from games order by engagement_score desc, appid limit 10"""
 _VERDICTS = """select appid, voted_up, count(*) as review_count,
-         round(avg({score}), 4) as avg_helpfulness,
-         round(avg(playtime_forever), 2) as avg_playtime_mins,
-         round({std}({score}), 4) as score_std_dev
+         round(avg({score})::decimal(38, 12), 4)::double as avg_helpfulness,
+         round(avg(playtime_forever)::decimal(38, 12), 2)::double as avg_playtime_mins,
+         round({std}({score})::decimal(38, 12), 4)::double as score_std_dev
   from reviews where voted_up is not null and appid is not null group by appid, voted_up"""
 _TOP = """select appid, steamid, voted_up, weighted_vote_score, votes_up, playtime_forever,
          cast(r as int) as influence_rank
@@ -680,15 +684,15 @@ _BY_ROWS = _REVIEW_TREND.format(frame="rows between 6 preceding and current row"
 _GOOD_GAMES = """select e.steamid, e.appid, e.weighted_vote_score, g.game_avg_score,
          e.playtime_forever
   from elite as e join (
-    select appid, round(avg(weighted_vote_score), 4) as game_avg_score from reviews
+    select appid, round(avg(weighted_vote_score)::decimal(38, 12), 4)::double as game_avg_score from reviews
     where weighted_vote_score is not null group by appid
-    having count(*) >= 20 and round(avg(weighted_vote_score), 4) >
+    having count(*) >= 20 and round(avg(weighted_vote_score)::decimal(38, 12), 4)::double >
       (select avg(weighted_vote_score) from reviews)) as g on e.appid = g.appid"""
 _NAMED = """select appid, s_name as app_name, n_name as genre, voted_up, weighted_vote_score,
          playtime_forever
   from reviews join supplier on appid = s_suppkey join nation on s_nationkey = n_nationkey"""
 _MONTHLY = """select review_year, review_month, count(*) as monthly_reviews,
-         round(avg({score}), 4) as avg_score
+         round(avg({score})::decimal(38, 12), 4)::double as avg_score
   from reviews where review_year in (1996, 1997) group by review_year, review_month"""
 _PROFILED = """select steamid, o_orderpriority as username,
          cast(o_custkey as int) as account_age_days, cast(o_custkey as int) as total_reviews,
@@ -770,10 +774,13 @@ _report("reviews_ingest", _MONTHLY.format(score="weighted_vote_score"), _stored_
 
 def _sql_report(name: str, body: str, *ctes: str) -> None:
     def run(table: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-        register(table, "reviews")
-        register(_apps(spark, sf_dir), "app_metadata")
-        register(_profiles(spark, sf_dir), "user_profiles")
-        return review_sql.run(spark, name, years=_YEARS)
+        views = {
+            "reviews": table,
+            "app_metadata": _apps(spark, sf_dir),
+            "user_profiles": _profiles(spark, sf_dir),
+        }
+        used = {view: df for view, df in views.items() if view in review_sql.TEXTS[name]}
+        return review_sql.run(spark, name, years=_YEARS, views=used)
 
     _report(f"reviews_sql_{name}", body, run, *ctes)
 
@@ -843,9 +850,14 @@ _report(
 )
 _report(
     "b3_profiles",
-    f"""select profile, cast({_ALL_ROWS} as bigint) as rows
-        from (values ('default'), ('low'), ('high')) as profiles(profile)""",
-    lambda t, *_: benchmarks.time_profiles(t, repeats=1, warm_up=False).select("profile", "rows"),
+    f"""select profile, workload, cast(n as bigint) as rows
+        from (select 'count' as workload, {_ALL_ROWS} as n
+              union all select 'aggregation', {_GAME_ROWS}) as results
+        cross join (values ('default'), ('low'), ('high')) as profiles(profile)""",
+    lambda t, *_: benchmarks.time_profiles(t, repeats=1, warm_up=False).select(
+        "profile", "workload", "rows"
+    ),
+    _GAMES_SKIP,
 )
 
 

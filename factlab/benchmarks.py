@@ -51,6 +51,11 @@ SWEEP_WORKLOADS: dict[str, Workload] = {
     "q5": rank_by_score,
 }
 
+PROFILE_WORKLOADS: dict[str, Workload] = {
+    "count": count_rows,
+    "aggregation": reviews.game_stats,
+}
+
 # Shuffle widths of the sweep, and the SQL settings of the profiles.
 SWEEP_PARTITIONS = (50, 100, 200, 400)
 PROFILES = {
@@ -165,21 +170,27 @@ def sweep_partitions(
 def time_profiles(
     table: DataFrame,
     profiles: Mapping[str, Mapping[str, str]] = PROFILES,
+    workloads: Mapping[str, Workload] = PROFILE_WORKLOADS,
     repeats: int = 3,
     warm_up: bool = True,
 ) -> DataFrame:
-    """Row count of ``table`` under each profile's SQL settings.
+    """Each workload under each profile's SQL settings.
 
-    Master and memory of a profile belong to spark-submit: a running JVM keeps its own.
+    A count has no keyed shuffle, whose width is what the settings change, so an
+    aggregation runs beside it. Master and memory of a profile belong to
+    spark-submit: a running JVM keeps its own.
     """
     spark = table.sparkSession
-    if warm_up:
-        run_once(count_rows(table), [])
     results = []
-    for name, settings in profiles.items():
-        seconds: list[float] = []
-        with sql_settings(spark, settings):
-            for _ in range(repeats):
-                rows = run_once(count_rows(table), seconds)
-        results.append((name, rows, median(seconds)))
-    return spark.createDataFrame(results, "profile string, rows bigint, sec double")
+    for workload, run in workloads.items():
+        if warm_up:
+            run_once(run(table), [])
+        for name, settings in profiles.items():
+            seconds: list[float] = []
+            with sql_settings(spark, settings):
+                for _ in range(repeats):
+                    rows = run_once(run(table), seconds)
+            results.append((name, workload, rows, median(seconds)))
+    return spark.createDataFrame(
+        results, "profile string, workload string, rows bigint, sec double"
+    )

@@ -23,6 +23,11 @@ class Stat(NamedTuple):
     digits: int | None = None
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """``value`` half up, its last bits left out first: they depend on the order of a sum."""
+    return F.round(F.round(value, digits + 8), digits)
+
+
 def _stat_column(stat: Stat, nulls: Nulls, ddof: int) -> Column:
     if nulls not in ("skip", "zero"):
         raise ValueError(f"nulls must be 'skip' or 'zero', not {nulls!r}")
@@ -34,7 +39,7 @@ def _stat_column(stat: Stat, nulls: Nulls, ddof: int) -> Column:
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
     result = {"mean": F.avg, "sum": F.sum, "std": std}[stat.how](value)
     if stat.digits is not None:
-        result = F.round(result, stat.digits)
+        result = rounded(result, stat.digits)
     return result.alias(stat.name)
 
 
@@ -112,7 +117,7 @@ def above_global_mean(
         )
     )
     overall = groups.agg(F.sum("_sum") / F.sum(count_as)).scalar()
-    mean = F.round(F.col("_sum") / F.col(count_as), digits)
+    mean = rounded(F.col("_sum") / F.col(count_as), digits)
     return (
         groups.filter(F.col(count_as) >= min_rows)
         .select(key, mean.alias(mean_as), count_as)

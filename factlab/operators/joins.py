@@ -75,7 +75,9 @@ def _aligned_join(fact: DataFrame, dim: DataFrame, on: str, partitions: int) ->
         .withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
         .drop("_hot")
     )
-    return salted_fact.join(salted_dim.hint("merge"), [on, "_salt"], "inner").drop("_salt")
+    joined = salted_fact.join(salted_dim.hint("merge"), [on, "_salt"], "inner").drop("_salt")
+    # Spark widens a shuffle below the session's width again; this needs no further one.
+    return joined.coalesce(partitions)
 
 
 def join_to_groups(

@@ -54,37 +54,39 @@ def top_ranked(
 def _single_winner(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rank_as: str
 ) -> DataFrame:
-    # The largest struct of all columns, the deciding ones first. As an aggregate
-    # it leaves one row per group and task before the shuffle.
-    others = [name for name in df.columns if name not in (*keys, *order)]
-    winner = F.max(F.struct(*order, *others)).alias("_winner")
+    # Of the rows of greatest order values, the largest struct of the columns left.
+    # The maximum of a struct sorts its input, so only these few rows get there.
+    rows = _greatest(df, keys, order)
+    others = [name for name in df.columns if name not in keys]
+    winner = F.max(F.struct(*others)).alias("_winner")
     columns = [F.col(name if name in keys else f"_winner.{name}") for name in df.columns]
-    return df.groupBy(*keys).agg(winner).select(*columns, F.lit(1).alias(rank_as))
+    return rows.groupBy(*keys).agg(winner).select(*columns, F.lit(1).alias(rank_as))
 
 
 def _all_winners(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rank_as: str
 ) -> DataFrame:
-    # A rank() window would sort every row and bring all rows tied at the top of
-    # a hot group into one task. Instead each group's best values come from an
-    # aggregate, and rows are matched with them in a join on group and values,
-    # which AQE splits where many rows tie.
-    best = _best_values(df, keys, order)
-    candidates = _drop_hopeless(df, best, keys, order[0])
-    same = reduce(
-        and_, (candidates[name].eqNullSafe(best[f"_best_{name}"]) for name in [*keys, *order])
-    )
-    return candidates.join(best, same).select(*df.columns, F.lit(1).alias(rank_as))
+    return _greatest(df, keys, order).withColumn(rank_as, F.lit(1))
 
 
-def _best_values(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    groups = df.groupBy(*(F.col(name).alias(f"_best_{name}") for name in keys))
-    if len(order) == 1:
-        # The maximum of a number is a hash aggregate, that of a struct is not.
-        return groups.agg(F.max(order[0]).alias(f"_best_{order[0]}"))
-    best = groups.agg(F.max(F.struct(*order)).alias("_best"))
-    values = [F.col(f"_best.{name}").alias(f"_best_{name}") for name in order]
-    return best.select(*(f"_best_{name}" for name in keys), *values)
+def _greatest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    # A rank() window would sort every row and bring all rows tied at the top of
+    # a hot group into one task, and the maximum of a struct would sort all rows in
+    # the map tasks. Instead each group's best value of the first column comes from
+    # a hash aggregate, and rows are matched with it in a join on group and value,
+    # which AQE splits where many rows tie; then the next column among those left.
+    rows = df
+    for i, name in enumerate(order):
+        best = rows.groupBy(*(F.col(key).alias(f"_best_{key}") for key in keys)).agg(
+            F.max(name).alias("_best")
+        )
+        if i == 0:
+            rows = _drop_hopeless(rows, best, keys, name)
+        same = reduce(and_, (rows[key].eqNullSafe(best[f"_best_{key}"]) for key in keys))
+        # NULL stands last, so it is the best only where a group has nothing else.
+        same = same & rows[name].eqNullSafe(best["_best"])
+        rows = rows.join(best, same).select(*df.columns)
+    return rows
 
 
 def _drop_hopeless(
@@ -93,11 +95,12 @@ def _drop_hopeless(
     # Groups hash into SLOTS slots, and the lowest of a slot's best values bounds
     # what a winner in it must reach. That table has at most SLOTS rows however
     # many groups there are, so it can be broadcast, and rows below the bound
-    # never reach the join's shuffle. A slot with a best value of NULL bounds nothing.
+    # never reach the join's shuffle. A slot with a best value of NULL bounds nothing, and
+    # the more groups there are beyond SLOTS, the less a bound leaves out.
     def slot(names: Sequence[str]) -> Column:
         return F.xxhash64(*names).bitwiseAND(SLOTS - 1)
 
-    value = F.col(f"_best_{first}")
+    value = F.col("_best")
     bounds = best.groupBy(slot([f"_best_{name}" for name in keys]).alias("_slot")).agg(
         F.when(F.count(F.lit(1)) == F.count(value), F.min(value)).alias("_bound")
     )

@@ -8,6 +8,10 @@ min_rows=20)`` changes one without touching the text.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Mapping
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from factlab.functions.calendar import FIRST_EPOCH, LAST_EPOCH
@@ -21,14 +25,17 @@ ELITE = """
     and playtime_forever >= :minutes and weighted_vote_score >= :score
 """
 
+# Means are rounded twice, as in operators.aggregates: the last bits of a sum depend on the
+# order of its parts.
+
 # Epoch seconds to a UTC date without help of the session time zone.
 DAY = "date_from_unix_date(cast(floor(unix_timestamp_created / 86400) as int))"
 
 GAMES = """
   select appid,
-         round(avg(weighted_vote_score), 4) as avg_helpfulness,
+         round(round(avg(weighted_vote_score), 12), 4) as avg_helpfulness,
          count(*) as total_reviews,
-         round(avg(playtime_forever), 2) as avg_playtime_mins,
+         round(round(avg(playtime_forever), 10), 2) as avg_playtime_mins,
          sum(votes_up) as total_votes_up
   from reviews group by appid having total_reviews >= :min_rows
 """
@@ -39,9 +46,9 @@ TEXTS = {
     "q3": """
   select appid, voted_up,
          count(*) as review_count,
-         round(avg(weighted_vote_score), 4) as avg_helpfulness,
-         round(avg(playtime_forever), 2) as avg_playtime_mins,
-         round(stddev_pop(weighted_vote_score), 4) as score_std_dev
+         round(round(avg(weighted_vote_score), 12), 4) as avg_helpfulness,
+         round(round(avg(playtime_forever), 10), 2) as avg_playtime_mins,
+         round(round(stddev_pop(weighted_vote_score), 12), 4) as score_std_dev
   from reviews where isnotnull(voted_up) and isnotnull(appid)
   group by all order by review_count desc
 """,
@@ -52,22 +59,24 @@ TEXTS = {
   from games order by engagement_score desc, appid limit :k
 """,
     # Best values per game joined back, as in operators.ranking: a plain rank()
-    # window would bring all rows that tie in a game into one task. The broadcast
+    # window would bring all rows that tie in a game into one task, and the maximum
+    # of a struct would sort every row before the shuffle. The broadcast
     # table has one row per slot, 65,536 at most.
     "q5": """
   with scored as (
     select appid, steamid, voted_up, weighted_vote_score, votes_up, playtime_forever
     from reviews where isnotnull(weighted_vote_score)),
   best as (
-    select appid, max(struct(weighted_vote_score, votes_up)) as top from scored group by appid),
+    select appid as best_appid, max(weighted_vote_score) as score from scored group by appid),
   bounds as (
-    select xxhash64(appid) & 65535 as slot, min(top.weighted_vote_score) as bound
-    from best group by slot)
-  select /*+ broadcast(bounds) */ scored.*, 1 as influence_rank
-  from scored
-  join bounds on xxhash64(scored.appid) & 65535 = slot and weighted_vote_score >= bound
-  join best on scored.appid <=> best.appid
-           and weighted_vote_score <=> top.weighted_vote_score and votes_up <=> top.votes_up
+    select xxhash64(best_appid) & 65535 as slot, min(score) as bound from best group by slot),
+  near as (
+    select /*+ broadcast(bounds) */ scored.* from scored
+    join bounds on xxhash64(appid) & 65535 = slot and weighted_vote_score >= bound
+    join best on appid <=> best_appid and weighted_vote_score = score),
+  votes as (select appid as votes_appid, max(votes_up) as votes from near group by appid)
+  select near.*, 1 as influence_rank
+  from near join votes on appid <=> votes_appid and votes_up <=> votes
 """,
     "q6": f"""
   with days as (
@@ -78,7 +87,8 @@ TEXTS = {
   select *, round(avg(daily_review_count) over (
               partition by appid order by review_date
               rows between 6 preceding and current row), 2) as avg_7d_reviews
-  from daily order by appid, review_date
+  from (select /*+ repartition_by_range(appid) */ * from daily) as daily
+  order by appid, review_date
 """,
     # As operators.aggregates and operators.joins do it: one scan serves the group
     # means and the overall mean, and the join has a shuffle of its own.
@@ -88,9 +98,9 @@ TEXTS = {
     select appid, sum(double(weighted_vote_score)) as total, count(*) as n
     from reviews where isnotnull(weighted_vote_score) group by appid),
   games as (
-    select appid, round(total / n, 4) as game_avg_score from sums
+    select appid, round(round(total / n, 12), 4) as game_avg_score from sums
     where n >= :mean_min_rows
-      and round(total / n, 4) > (select sum(total) / sum(n) from sums))
+      and round(round(total / n, 12), 4) > (select sum(total) / sum(n) from sums))
   select steamid, e.appid, weighted_vote_score, game_avg_score, playtime_forever
   from elite as e join games as g
     on xxhash64(e.appid) = xxhash64(g.appid) and e.appid <=> g.appid
@@ -104,8 +114,9 @@ TEXTS = {
 """,
     "q9": """
   select review_year, review_month, count(*) as monthly_reviews,
-         round(avg(weighted_vote_score), 4) as avg_score
+         round(round(avg(weighted_vote_score), 12), 4) as avg_score
   from reviews where review_year in (:years)
+    and unix_timestamp_created >= :since and unix_timestamp_created < :until
   group by all order by review_year, review_month
 """,
     "q10": """
@@ -130,8 +141,43 @@ DEFAULTS = {
 }
 
 
-def run(spark: SparkSession, name: str, years=plan.SUMMARY_YEARS, **values) -> DataFrame:
-    """The report ``name`` (q1 to q10), with ``values`` in place of the default thresholds."""
+def run(
+    spark: SparkSession,
+    name: str,
+    years=plan.SUMMARY_YEARS,
+    partitioned: bool = False,
+    views: Mapping[str, DataFrame] | None = None,
+    **values,
+) -> DataFrame:
+    """The report ``name`` (q1 to q10), with ``values`` in place of the default thresholds.
+
+    The years of q9 imply a range of the creation time that skips row groups; a table
+    ``partitioned`` by review_year is pruned without it. ``views`` gives the tables
+    themselves, in place of views of the session.
+    """
     text = TEXTS[name].replace(":years", ", ".join(str(int(year)) for year in years))
-    wanted = {key: value for key, value in {**DEFAULTS, **values}.items() if f":{key}" in text}
-    return spark.sql(text, args=wanted)
+    if partitioned:
+        text = text.replace(_RANGE, "")
+    bounds = {
+        "since": _epoch(min(years, default=1970)),
+        "until": _epoch(max(years, default=1969) + 1),
+    }
+    names = set(re.findall(r":([a-z_]+)", text))
+    if unknown := values.keys() - names:
+        raise ValueError(f"{name} has no parameter {', '.join(sorted(unknown))}")
+    known = {**DEFAULTS, **bounds, **values}
+    if views:
+        # Braces name tables given with the text; the reports have no others.
+        for view in views:
+            text = re.sub(rf"\b(from|join) {view}\b", rf"\1 {{{view}}}", text)
+    args = {key: known[key] for key in names}
+    return spark.sql(text, args=args, **(views or {}))
+
+
+_RANGE = """
+    and unix_timestamp_created >= :since and unix_timestamp_created < :until"""
+
+
+def _epoch(year: int) -> int:
+    """First second of the year, UTC."""
+    return int(datetime(year, 1, 1, tzinfo=UTC).timestamp())

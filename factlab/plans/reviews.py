@@ -208,8 +208,8 @@ def elite_in_good_games(reviews: DataFrame, elite: DataFrame | None = None) -> D
     return join_to_groups(elite_reviews(reviews) if elite is None else elite, games, "appid", columns)
 
 
-def named_reviews(reviews: DataFrame, apps: DataFrame, fixed_size: bool = True) -> DataFrame:
-    """Q8: reviews with the name and genre of their game."""
+def named_reviews(reviews: DataFrame, apps: DataFrame, fixed_size: bool = False) -> DataFrame:
+    """Q8: reviews with the name and genre of their game; see ``lookup_join``."""
     columns = [
         "appid", "app_name", "genre", "voted_up", "weighted_vote_score", "playtime_forever"
     ]

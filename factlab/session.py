@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import SparkSession
 
 # All of these can be set on a running session; memory, master and serializer
@@ -17,28 +19,28 @@ SQL_OPTIONS = {
 }
 
 
-def make_session(app: str, master: str | None = None, **options: str) -> SparkSession:
-    """A session with ``SQL_OPTIONS`` and any further ``options`` (keys with ``__`` for dots)."""
+def make_session(
+    app: str, master: str | None = None, options: Mapping[str, str] | None = None
+) -> SparkSession:
+    """A session with ``SQL_OPTIONS`` and any further ``options``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SQL_OPTIONS.items():
+    for key, value in {**SQL_OPTIONS, **(options or {})}.items():
         builder = builder.config(key, value)
-    for key, value in options.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 
 def shuffle_options(
-    input_bytes: int, cores: int, partition_bytes: int = 128 << 20, most: int = 100_000
+    input_bytes: int, cores: int, partition_bytes: int = 128 << 20
 ) -> dict[str, str]:
     """Shuffle options for an exchange of about ``input_bytes``.
 
     AQE merges partitions that turn out small but never adds any, so the count
     has to start from the full input: 100 TB at 128 MB is some 800,000
-    partitions, held at ``most`` (1 GB each) to bound the shuffle's block count.
+    partitions. Choose larger ``partition_bytes`` to bound the shuffle's blocks.
     """
-    count = min(most, max(cores, -(-input_bytes // partition_bytes)))
+    count = max(cores, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(count),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),

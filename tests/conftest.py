@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from factlab.session import make_session  # noqa: E402
+from factlab.sources.scratch import remove_scratch  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,14 +16,20 @@ def spark(tmp_path_factory):
     session = make_session(
         "factlab-tests",
         "local[4]",
-        spark__ui__enabled="false",
-        spark__driver__memory="4g",
-        spark__sql__shuffle__partitions="4",
-        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
+        {
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    shared = Path(session.conf.get("spark.checkpoint.dir"))
+    remove_scratch(session)
+    left = list(shared.glob("factlab-*"))
     session.stop()
+    assert not left
 
 
 @pytest.fixture

@@ -59,9 +59,15 @@ def test_settings_are_restored_after_an_error(spark):
 
 
 def test_profiles(table):
-    found = benchmarks.time_profiles(table, repeats=1).collect()
-    assert [(row["profile"], row["rows"]) for row in found] == [
-        ("default", 10), ("low", 10), ("high", 10)
+    def halves(df):
+        return df.groupBy(df[df.columns[0]]).count().limit(5)
+
+    workloads = {"count": benchmarks.count_rows, "groups": halves}
+    found = benchmarks.time_profiles(table, workloads=workloads, repeats=1).collect()
+    assert [(row["profile"], row["workload"], row["rows"]) for row in found] == [
+        (profile, workload, rows)
+        for workload, rows in (("count", 10), ("groups", found[-1]["rows"]))
+        for profile in ("default", "low", "high")
     ]
 
 
@@ -73,4 +79,4 @@ def test_session_options(spark):
 def test_shuffle_width_follows_the_input():
     assert shuffle_options(1 << 20, 8)["spark.sql.shuffle.partitions"] == "8"
     assert shuffle_options(5 << 30, 8)["spark.sql.shuffle.partitions"] == "40"
-    assert shuffle_options(100 << 40, 8)["spark.sql.shuffle.partitions"] == "100000"
+    assert shuffle_options(100 << 40, 8)["spark.sql.shuffle.partitions"] == "819200"

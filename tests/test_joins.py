@@ -69,6 +69,14 @@ def test_aligned_join_spreads_a_hot_key(skewed_session, hot_table):
     assert joined.select("row_id").distinct().count() == 100_000
 
 
+@pytest.mark.parametrize("partitions", [3, 8, 13])
+def test_aligned_join_gives_the_partitions_asked_for(skewed_session, hot_table, partitions):
+    """Below, at and above the session's width of 8."""
+    joined = merge_join(hot_table, _names(skewed_session), "key", partitions=partitions)
+    assert joined.rdd.getNumPartitions() == partitions
+    assert joined.count() == 100_000
+
+
 def test_join_to_groups_drops_null_keys(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 3.0), (None, 10.0)], "key int, value double")
     groups = above_global_mean(df, "key", "value", "mean")
