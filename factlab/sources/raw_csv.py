@@ -32,7 +32,7 @@ def read_csv_raw(spark: SparkSession, path: str, tasks: Tasks = "files") -> Data
 
     A quoted newline hides where records start, so by default one file is one
     task: deliver the data as many files. ``tasks="blocks"`` divides large files
-    at the price of two shuffles, if they are well-formed (see ``split_csv``).
+    at the price of shuffling their lines (see ``split_csv``).
     ``tasks="lines"`` is for data without quoted newlines, which needs neither.
     """
     if tasks == "files":
@@ -44,9 +44,14 @@ def read_csv_raw(spark: SparkSession, path: str, tasks: Tasks = "files") -> Data
     raise ValueError(f"tasks must be 'files', 'blocks' or 'lines', not {tasks!r}")
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV read straight into ``schema``, whose column order must be the header's."""
-    return _reader(spark, multi_line=True).schema(schema).csv(path)
+def read_csv_typed(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True
+) -> DataFrame:
+    """CSV read straight into ``schema``, whose column order must be the header's.
+
+    Without ``multi_line`` large files are divided; quoted newlines then end a record.
+    """
+    return _reader(spark, multi_line).schema(schema).csv(path)
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

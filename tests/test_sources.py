@@ -98,6 +98,36 @@ def test_blocks_give_the_records_of_whole_files(spark, tmp_path, quote_all, bloc
         assert blocks.count() == len(data)
 
 
+STRAY = {
+    "one stray quote": {1500: '1500,2,5" disk'},
+    "two stray quotes": {500: '500,2,5" disk', 1850: '1850,x,say "hi" now'},
+    "text after a closing quote": {700: '700,x,"a"b'},
+    "doubled quotes and newlines": {9: '9,"q ""x"", y","a\n""b""\n,c"', 10: '10,"","""\n"'},
+    "stray quote next to a quoted newline": {3: '3,5" x,"a\nb"', 4: '4,x,"c"""'},
+}
+
+
+@pytest.mark.parametrize("case", STRAY)
+@pytest.mark.parametrize("block", [7, 64, 1_000_000])
+def test_blocks_lose_nothing_to_stray_quotes(spark, tmp_path, case, block):
+    n = 3000 if block > 7 else 120
+    odd = {min(k, n - 9 + k % 7): line for k, line in STRAY[case].items()}
+    lines = [odd.get(i, f"{i},plain,text {i}") for i in range(n)]
+    (tmp_path / "raw.csv").write_text("\n".join(["id,kind,note", *lines, ""]))
+    path = str(tmp_path / "raw.csv")
+    with sql_settings(spark, {"spark.sql.files.maxPartitionBytes": str(block)}):
+        whole = rows(read_csv_raw(spark, path))
+        assert rows(read_csv_raw(spark, path, tasks="blocks")) == whole
+
+
+@pytest.mark.parametrize("block", [7, 1_000_000])
+def test_blocks_refuse_a_field_that_is_never_closed(spark, tmp_path, block):
+    (tmp_path / "raw.csv").write_text('id,note\n1,a\n2,"open\n3,b\n')
+    with sql_settings(spark, {"spark.sql.files.maxPartitionBytes": str(block)}):
+        with pytest.raises(Exception, match="never closed"):
+            read_csv_raw(spark, str(tmp_path / "raw.csv"), tasks="blocks").collect()
+
+
 def test_blocks_of_a_file_with_crlf_and_no_last_newline(spark, tmp_path):
     text = 'id,note\r\n1,"a\r\nb"\r\n\r\n2,plain\r\n"3","x""y"'
     (tmp_path / "raw.csv").write_bytes(text.encode())
