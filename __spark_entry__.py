@@ -869,7 +869,7 @@ if find_spec("factlab.llm"):
 
     _QUERIES.update(QUERIES)
     _ORACLES.update(ORACLES)
-if find_spec("corpus_pipeline"):
+if find_spec("factlab.llm") and find_spec("corpus_pipeline"):
     import corpus_pipeline
 
     _QUERIES["pipeline"] = corpus_pipeline.run
