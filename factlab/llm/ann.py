@@ -30,7 +30,7 @@ from factlab.llm.common import stored
 
 HASHES = 40
 THRESHOLD = 0.55
-GROWTH = 1.3
+GROWTH = 1.15
 SEED = 17
 #: Rows of a block of vectors and of queries.
 BLOCK = 16_384
@@ -42,35 +42,36 @@ class Index:
 
     def __init__(self, vectors: np.ndarray, lines: np.ndarray):
         self.vectors, self._lines = vectors, lines
-        places = vectors @ lines
-        self._order = np.argsort(places, axis=0, kind="stable")
-        self._sorted = np.take_along_axis(places, self._order, axis=0)
-        spread = self._sorted[-1] - self._sorted[0]
+        # One row for each line, as windows are stretches of a row.
+        places = np.ascontiguousarray((vectors @ lines).T)
+        self._order = np.argsort(places, axis=1, kind="stable").astype(np.int32)
+        self._sorted = np.take_along_axis(places, self._order, axis=1)
+        spread = self._sorted[:, -1] - self._sorted[:, 0]
         self._width = float(spread.mean()) or 1.0
 
     def search(self, query: np.ndarray, k: int, skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and distances of at least the k nearest found; ``skip`` marks the query's own."""
-        n, hashes = self._order.shape
+        hashes, n = self._order.shape
         centres = query @ self._lines
         need = int(np.ceil(THRESHOLD * hashes))
-        counts = np.zeros(n, np.int32)
+        counts = np.zeros(n, np.uint8)
         verified = np.array(skip, bool)
         distances = np.full(n, np.inf)
         wanted = min(k, n - int(skip.sum()))
-        columns = [self._sorted[:, i] for i in range(hashes)]
-        low = [int(np.searchsorted(x, c)) for x, c in zip(columns, centres)]
+        low = [int(np.searchsorted(x, c)) for x, c in zip(self._sorted, centres)]
         high = list(low)
-        radius = self._width / 64
+        radius = self._width / 32
         while True:
-            for i, column in enumerate(columns):
-                a = int(np.searchsorted(column, centres[i] - radius, "left"))
-                b = int(np.searchsorted(column, centres[i] + radius, "right"))
-                counts[self._order[a : low[i], i]] += 1
-                counts[self._order[high[i] : b, i]] += 1
+            for i, (line, order) in enumerate(zip(self._sorted, self._order)):
+                a = int(np.searchsorted(line, centres[i] - radius, "left"))
+                b = int(np.searchsorted(line, centres[i] + radius, "right"))
+                counts[order[a : low[i]]] += 1
+                counts[order[high[i] : b]] += 1
                 low[i], high[i] = min(a, low[i]), max(b, high[i])
             new = np.flatnonzero((counts >= need) & ~verified)
             if len(new):
-                distances[new] = np.sqrt(((self.vectors[new] - query) ** 2).sum(axis=1))
+                apart = self.vectors[new] - query
+                distances[new] = np.sqrt(np.einsum("ij,ij->i", apart, apart))
                 verified[new] = True
             if (distances <= radius).sum() >= wanted or verified.all():
                 return np.flatnonzero(np.isfinite(distances)), distances
