@@ -232,4 +232,6 @@ def first_of_each(
     nodes = stored(rows.groupBy("fp").agg(first), "simhash-nodes")
     kept = _rooted(nodes, bits, segments).groupBy("root").agg(F.min("first").alias("first"))
     kept = stored(kept.select(F.col("first.row").alias("row")), "simhash-kept")
-    return rows.join(kept, "row", "left_semi").drop("row", "fp").toDF(*docs.columns)
+    # The kept rows grow with the input, so both sides are shuffled at any size.
+    kept_rows = rows.join(kept.hint("merge"), "row", "left_semi")
+    return kept_rows.drop("row", "fp").toDF(*docs.columns)
