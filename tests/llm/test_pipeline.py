@@ -27,7 +27,8 @@ def test_stages_on_documents(spark):
     raw, drawn, ruled, single, mixed, pieces = (x.collect() for x in results)
 
     ids = [{row.doc_id for row in x} for x in (raw, drawn, ruled, single)]
-    assert ids[3] <= ids[2] <= ids[1] <= ids[0] and len(drawn) < len(raw)
+    # Of 200 documents the classifier may keep all: its labels are too few to part them.
+    assert ids[3] <= ids[2] <= ids[1] <= ids[0] and len(single) < len(drawn) <= len(raw)
     # Stage 1 keeps what the operator draws, stage 2 what it judges so.
     labels = sf(spark, "labels")
     kept = importance.resampled(results[0], labels).where("kept").collect()
