@@ -110,7 +110,7 @@ STRAY = {
 @pytest.mark.parametrize("case", STRAY)
 @pytest.mark.parametrize("block", [7, 64, 1_000_000])
 def test_blocks_lose_nothing_to_stray_quotes(spark, tmp_path, case, block):
-    n = 3000 if block > 7 else 120
+    n = {7: 40, 64: 200, 1_000_000: 3000}[block]
     odd = {min(k, n - 9 + k % 7): line for k, line in STRAY[case].items()}
     lines = [odd.get(i, f"{i},plain,text {i}") for i in range(n)]
     (tmp_path / "raw.csv").write_text("\n".join(["id,kind,note", *lines, ""]))
