@@ -4,9 +4,8 @@ A url's host and path are cut at dots, hyphens and other marks. Viterbi decoding
 each letter run into the most likely words of a unigram model; runs of digits become one
 token. Multinomial naive Bayes over hashed tokens then scores block against allow.
 
-Both models are counted here, over the whole table: word counts on the pages' texts and
-on the parts that urls delimit themselves, of which the ``VOCABULARY`` most frequent
-words are kept; token counts on all urls, those taken as blocked that hold a word of
+Both models are counted here, over the whole table: word counts on the pages' texts, of
+which the ``VOCABULARY`` most frequent words are kept; token counts on all urls, those taken as blocked that hold a word of
 ``SEEDS`` as a token. A tie of the scores allows.
 
 A rule is a host and the start of a path. It fits the host and its subdomains; of fitting
@@ -38,8 +37,10 @@ LONGEST = 20
 BUCKETS = 1 << 16
 #: Parameter: words that mark a url as one to block when the model is trained.
 SEEDS = ("spam", "pills", "casino", "poker", "bets", "ads", "viagra", "porn", "loan")
-#: What a seed counts as in the word model, so that names are split at it.
+#: What a seed counts as in the word model, so that names are split at it; in large
+#: tables this share of all words, or a second word would cost more than a seed gains.
 _SEED_COUNT = 1000
+_SEED_SHARE = 0.001
 #: Letter runs whose words a worker keeps.
 _MEMO_RUNS = 100_000
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
@@ -125,29 +126,30 @@ class Words:
         return found
 
 
-def count_words(pages: DataFrame, url: str, html: str) -> dict[str, int]:
-    """The most frequent words of all pages and urls; ties in code point order."""
+def count_words(pages: DataFrame, html: str) -> dict[str, int]:
+    """The most frequent words of all pages' texts; ties in code point order.
+
+    Urls are not counted: a run that only urls hold would be a word by itself, and one
+    word costs less than the several it is made of.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
             for text in batch.column("html").to_pylist():
                 counts.update(x[1] for x in _HTML_WORDS.finditer((text or "").lower()) if x[1])
-            for host, path in zip(*(batch.column(x).to_pylist() for x in ("host", "path"))):
-                counts.update(x for x in _PARTS.findall(f"{host} {path.lower()}") if x.isalpha())
             short = {word: n for word, n in counts.items() if len(word) <= LONGEST}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(short), pa.string()), pa.array(list(short.values()), pa.int64())],
                 ["word", "n"],
             )
 
-    rows = pages.select(
-        F.col(html).alias("html"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
-    )
+    rows = pages.select(F.col(html).alias("html"))
     counts = rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     found = {row["word"]: row["n"] for row in top}
-    return found | {seed: found.get(seed, 0) + _SEED_COUNT for seed in SEEDS}
+    more = max(_SEED_COUNT, round(_SEED_SHARE * sum(found.values())))
+    return found | {seed: found.get(seed, 0) + more for seed in SEEDS}
 
 
 # ---- naive Bayes ----------------------------------------------------------------
@@ -211,7 +213,7 @@ def judged(
 
     ``score`` is the log odds of block by the models, whether or not a rule decides.
     """
-    words = Words(count_words(pages, url_column, html_column))
+    words = Words(count_words(pages, html_column))
     bayes = fit(pages, words, url_column)
     url, rows = place_of(pages, url_column), by_place(pages)
     rows = rows.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})

@@ -8,6 +8,7 @@ from itertools import product
 
 import pytest
 from odd_tables import sf, table
+from pyspark.sql import functions as F
 
 from factlab.llm import queries, url_filter
 from factlab.llm.queries import URL_RULES
@@ -104,6 +105,15 @@ def test_names_without_marks_are_split_and_blocked(spark):
     assert {verdict[h] for h in verdict if h.startswith("blog.")} == {"allow"}
 
 
+@pytest.mark.parametrize("name", ["cheappills", "wincasino", "freecasino", "bestpokerloan"])
+@pytest.mark.parametrize("n", [1, 5, 1000])
+def test_run_of_a_host_is_no_word_by_itself(spark, name, n):
+    given = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url", "html")
+    planted = given.limit(n).withColumn("url", F.lit(f"http://{name}.example.com/en/1"))
+    rows = url_filter.judged(given.unionByName(planted), []).where(F.col("host").startswith(name))
+    assert [row.verdict for row in rows.collect()] == ["block"] * n
+
+
 def test_op6_query(spark):
     urls = dict(map(tuple, sf(spark, "pages").select("page_id", "url").collect()))
     rows = queries.QUERIES["op6_url_filter"](spark, "/root/testdata/sf0.001").collect()
