@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 from odd_tables import ODD_ROWS, empty, odd, sf
+from pyspark.sql import functions as F
 from test_simhash import slow_fingerprint, slow_roots
 
 import corpus_pipeline  # noqa: I001
@@ -53,6 +54,23 @@ def test_stages_on_documents(spark):
     assert results[-1].columns[:5] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 
+def test_boilerplate_goes_from_unlabelled_input(spark):
+    """The rules' field comes from the raw table, whatever the classifier has left."""
+    sf_dir = "/root/testdata/sf0.01"
+    raw = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = line_crf.judged(raw, line_crf.train(raw, labels))
+    plant = judged.where("not kept and not base_failed").select("doc_id")
+    good = judged.where("kept").select("doc_id").limit(50)
+    ids = plant.unionByName(good)
+    docs = raw.join(ids, "doc_id").select(*raw.columns).withColumn("doc_id", F.col("doc_id") + 10**9)
+    left = corpus_pipeline.quality_rules(spark, docs, sf_dir).select(F.col("doc_id") - 10**9)
+    left = {row[0] for row in left.collect()}
+    gone = {row.doc_id for row in plant.collect()}
+    assert gone and not left & gone
+    assert len(left) == 50
+
+
 def test_run_is_the_stages(spark):
     first = corpus_pipeline.run(spark, SF)
     digest = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
