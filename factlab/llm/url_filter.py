@@ -4,9 +4,10 @@ A url's host and path are cut at dots, hyphens and other marks. Viterbi decoding
 each letter run into the most likely words of a unigram model; runs of digits become one
 token. Multinomial naive Bayes over hashed tokens then scores block against allow.
 
-Both models are counted here, over the whole table: word counts on the pages' texts, of
-which the ``VOCABULARY`` most frequent words are kept; token counts on all urls, those taken as blocked that hold a word of
-``SEEDS`` as a token. A tie of the scores allows.
+Both models are counted here, over the whole table: word counts on the pages' texts;
+token counts on all urls, those taken as blocked that hold a word of ``SEEDS`` as a token.
+A tie of the scores allows. Words stay in Spark, where the substrings of each different
+run meet their counts; the driver gets those of ``SHORT`` letters and the seeds only.
 
 A rule is a host and the start of a path. It fits the host and its subdomains; of fitting
 rules the longest text wins, then the one first in code point order. NULL urls and urls
@@ -18,7 +19,7 @@ its input with host, path, rule, verdict and score behind, in place of any so na
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 from math import log
 from typing import NamedTuple
@@ -28,12 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from factlab.llm.common import by_place, place_of
+from factlab.llm.common import by_place, place_of, stored
 
-VOCABULARY = 50_000
 LONGEST = 20
+#: Words of so many letters at most are sent to all tasks; there are under 19,000 such words.
+SHORT = 3
 BUCKETS = 1 << 16
 #: Parameter: words that mark a url as one to block when the model is trained.
 SEEDS = ("spam", "pills", "casino", "poker", "bets", "ads", "viagra", "porn", "loan")
@@ -43,6 +44,8 @@ _SEED_COUNT = 1000
 _SEED_SHARE = 0.001
 #: Letter runs whose words a worker keeps.
 _MEMO_RUNS = 100_000
+#: Substrings of runs in one batch.
+_BATCH = 1 << 16
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 _HTML_WORDS = re.compile(r"<(?:script|style)\b.*?</(?:script|style)>|<[^>]*>|([a-z]+)", re.S)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -86,8 +89,9 @@ def _last_first(text: str) -> list[int]:
 class Words:
     """Unigram probabilities; a run that is no word costs more with each letter."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) or 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = total or sum(counts.values()) or 1
+        self._total = total
         self._cost = {word: log(total) - log(n) for word, n in counts.items()}
         self._unknown = log(total) - log(10)
         self._memo: dict[str, tuple[str, ...]] = {}
@@ -117,17 +121,29 @@ class Words:
             end = back[end]
         return tuple(reversed(words))
 
-    def tokens(self, host: str, path: str) -> list[str]:
-        """Tokens of host and path, those of the path marked as such."""
-        found = []
-        for mark, text in (("", host), ("/", path.lower())):
-            for part in _PARTS.findall(text):
-                found += [mark + x for x in (("0",) if part[0].isdigit() else self.split(part))]
-        return found
+    def with_more(self, counts: dict[str, int]) -> Words:
+        """These words and those of ``counts``, of the same total."""
+        more = Words({}, self._total)
+        more._cost = ChainMap({word: log(self._total) - log(n) for word, n in counts.items()}, self._cost)
+        return more
 
 
-def count_words(pages: DataFrame, html: str) -> dict[str, int]:
-    """The most frequent words of all pages' texts; ties in code point order.
+def runs(host: str, path: str) -> set[str]:
+    """The letter runs of a url."""
+    return {x for text in (host, path.lower()) for x in _PARTS.findall(text) if not x[0].isdigit()}
+
+
+def tokens(host: str, path: str, split: dict[str, list[str]]) -> list[str]:
+    """Tokens of host and path, those of the path marked as such; runs not in ``split`` stay whole."""
+    found = []
+    for mark, text in (("", host), ("/", path.lower())):
+        for part in _PARTS.findall(text):
+            found += [mark + x for x in (("0",) if part[0].isdigit() else split.get(part, (part,)))]
+    return found
+
+
+def count_words(pages: DataFrame, html: str) -> DataFrame:
+    """Columns word, n: all words of all pages' texts.
 
     Urls are not counted: a run that only urls hold would be a word by itself, and one
     word costs less than the several it is made of.
@@ -145,11 +161,86 @@ def count_words(pages: DataFrame, html: str) -> dict[str, int]:
             )
 
     rows = pages.select(F.col(html).alias("html"))
-    counts = rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    found = {row["word"]: row["n"] for row in top}
-    more = max(_SEED_COUNT, round(_SEED_SHARE * sum(found.values())))
-    return found | {seed: found.get(seed, 0) + more for seed in SEEDS}
+    return rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def split_runs(found: DataFrame, counts: DataFrame) -> DataFrame:
+    """Columns run, words: those of the different runs of ``found`` that do not stay whole.
+
+    Each run meets the counts of its substrings, so no word of ``counts`` is left out.
+    """
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    more = max(_SEED_COUNT, round(_SEED_SHARE * total))
+    known = counts.where((F.length("word") <= SHORT) | F.col("word").isin(*SEEDS)).collect()
+    few = {row["word"]: row["n"] for row in known}
+    few |= {seed: few.get(seed, 0) + more for seed in SEEDS}
+    common = Words(few, total + more * len(SEEDS))
+
+    def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, words = [], []
+            for run in batch.column("run").to_pylist():
+                seen = set()
+                for start in range(len(run)):
+                    for end in range(start + SHORT + 1, min(len(run), start + LONGEST) + 1):
+                        seen.add(run[start:end])
+                    if len(seen) >= _BATCH or start == len(run) - 1:
+                        of += [run] * len(seen)
+                        words += seen
+                        seen = set()
+                    if len(of) >= _BATCH:
+                        yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(words)], ["run", "word"])
+                        of, words = [], []
+            kinds = [pa.array(x, pa.string()) for x in (of, words)]
+            yield pa.RecordBatch.from_arrays(kinds, ["run", "word"])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of, words = [], []
+            for row in batch.to_pylist():
+                counts = {x["word"]: x["n"] for x in row["known"] if x["word"] not in SEEDS}
+                best = common.with_more(counts).split(row["run"])
+                if len(best) > 1:
+                    of.append(row["run"])
+                    words.append(list(best))
+            kinds = [pa.array(of, pa.string()), pa.array(words, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(kinds, ["run", "words"])
+
+    once = stored(found.select("run").distinct(), "url-runs")
+    met = once.mapInArrow(substrings, "run string, word string").join(counts.hint("merge"), "word")
+    met = met.select("run", F.struct("word", "n").alias("known"))
+    none = once.select("run", F.lit(None).cast(met.schema["known"].dataType).alias("known"))
+    gathered = met.unionByName(none).groupBy("run").agg(F.collect_list("known").alias("known"))
+    return gathered.mapInArrow(split, "run string, words array<string>")
+
+
+def parsed(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """Columns host, path, n, split: each different pair once, with its number of rows."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, found = [], []
+            for place, host, path in zip(*(batch.column(x).to_pylist() for x in ("id", "host", "path"))):
+                some = runs(host, path)
+                at += [place] * len(some)
+                found += some
+            kinds = [pa.array(at, pa.int64()), pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(kinds, ["id", "run"])
+
+    urls = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    urls = urls.groupBy("host", "path").agg(F.count("*").alias("n"))
+    urls = stored(urls.withColumn("id", F.monotonically_increasing_id()), "urls")
+    found = urls.select("id", "host", "path").mapInArrow(explode, "id long, run string")
+    counts = stored(count_words(pages, html), "url-words")
+    split = stored(split_runs(found, counts), "url-splits")
+    met = found.join(split.hint("merge"), "run").groupBy("id")
+    met = met.agg(F.collect_list(F.struct("run", "words")).alias("split"))
+    return urls.join(met.hint("merge"), "id", "left").drop("id")
+
+
+def _tokens_of(batch: pa.RecordBatch) -> Iterator[list[str]]:
+    for host, path, split in zip(*(batch.column(x).to_pylist() for x in ("host", "path", "split"))):
+        yield tokens(host, path, {x["run"]: x["words"] for x in split or ()})
 
 
 # ---- naive Bayes ----------------------------------------------------------------
@@ -164,34 +255,32 @@ def bucket(token: str) -> int:
     return crc32(token.encode()) % BUCKETS
 
 
-def fit(pages: DataFrame, words: Words, url: str) -> Bayes:
+def fit(urls: DataFrame) -> Bayes:
     """Counts over all urls; the driver gets one row for each bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, urls = np.zeros((2, BUCKETS), np.int64), [0, 0]
+        sums, rows = np.zeros((2, BUCKETS), np.int64), [0, 0]
         for batch in batches:
-            for host, path in zip(*(batch.column(x).to_pylist() for x in ("host", "path"))):
-                tokens = words.tokens(host, path)
-                blocked = int(any(token.lstrip("/") in SEEDS for token in tokens))
-                urls[blocked] += 1
-                for token in tokens:
-                    sums[blocked, bucket(token)] += 1
+            for found, n in zip(_tokens_of(batch), batch.column("n").to_pylist()):
+                blocked = int(any(token.lstrip("/") in SEEDS for token in found))
+                rows[blocked] += n
+                for token in found:
+                    sums[blocked, bucket(token)] += n
         some = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([-1, *some.tolist()], pa.int64()),
-                pa.array([urls[0], *sums[0][some].tolist()], pa.int64()),
-                pa.array([urls[1], *sums[1][some].tolist()], pa.int64()),
+                pa.array([rows[0], *sums[0][some].tolist()], pa.int64()),
+                pa.array([rows[1], *sums[1][some].tolist()], pa.int64()),
             ],
             ["bucket", "allow", "block"],
         )
 
-    rows = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    counted = rows.mapInArrow(count, "bucket long, allow long, block long").groupBy("bucket")
-    sums, urls = np.zeros((2, BUCKETS)), (0, 0)
+    counted = urls.mapInArrow(count, "bucket long, allow long, block long").groupBy("bucket")
+    sums, rows = np.zeros((2, BUCKETS)), (0, 0)
     for row in counted.agg(F.sum("allow"), F.sum("block")).collect():
         if row[0] < 0:
-            urls = row[1], row[2]
+            rows = row[1], row[2]
         else:
             sums[:, row[0]] = row[1], row[2]
     # One more of each token that occurs; a bucket without any says nothing.
@@ -200,7 +289,7 @@ def fit(pages: DataFrame, words: Words, url: str) -> Bayes:
     with np.errstate(divide="ignore", invalid="ignore"):
         logs = np.log(sums / sums.sum(axis=1, keepdims=True))
         weights = np.where(used, logs[1] - logs[0], 0.0)
-    return Bayes(log(urls[1] + 1) - log(urls[0] + 1), weights)
+    return Bayes(log(rows[1] + 1) - log(rows[0] + 1), weights)
 
 
 # ---- operator -------------------------------------------------------------------
@@ -213,8 +302,8 @@ def judged(
 
     ``score`` is the log odds of block by the models, whether or not a rule decides.
     """
-    words = Words(count_words(pages, html_column))
-    bayes = fit(pages, words, url_column)
+    urls = stored(parsed(pages, url_column, html_column), "urls-parsed")
+    bayes = fit(urls)
     url, rows = place_of(pages, url_column), by_place(pages)
     rows = rows.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     made = ["host", "path", "rule", "verdict", "score"]
@@ -222,17 +311,15 @@ def judged(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            odds: list[float] = []
-            for host, path in zip(*(batch.column(x).to_pylist() for x in ("host", "path"))):
-                tokens = words.tokens(host, path)
-                odds.append(bayes.prior + sum(bayes.weights[bucket(x)] for x in tokens))
+            odds = [bayes.prior + sum(bayes.weights[bucket(x)] for x in found) for found in _tokens_of(batch)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(odds, pa.float64())], [*batch.schema.names, "score"]
+                [batch.column("host"), batch.column("path"), pa.array(odds, pa.float64())],
+                ["host", "path", "score"],
             )
 
     rows = rows.select(*[place for place, _ in kept], "host", "path")
-    fields = StructType([*rows.schema.fields, StructField("score", DoubleType())])
-    scored = rows.mapInArrow(score, fields)
+    odds = urls.mapInArrow(score, "host string, path string, score double")
+    scored = rows.join(odds.hint("merge"), ["host", "path"])
     host, path = F.col("host"), F.col("path")
     by_model = F.when((F.col("score") > 0) & (host != ""), "block").otherwise("allow")
     return scored.select(

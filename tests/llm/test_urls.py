@@ -114,6 +114,16 @@ def test_run_of_a_host_is_no_word_by_itself(spark, name, n):
     assert [row.verdict for row in rows.collect()] == ["block"] * n
 
 
+def test_rare_words_split_names_in_large_vocabularies(spark):
+    """A word said once counts, beside 60,000 words said twice."""
+    letters = "abcdefghij"
+    often = " ".join("".join(letters[int(d)] for d in f"{i:05d}") for i in range(60_000))
+    rows = [(1, "http://quirkyzebras.net/", f"{often} {often} quirky zebras")]
+    table_ = table(spark, rows, "page_id long, url string, html string")
+    (row,) = url_filter.parsed(table_, "url", "html").collect()
+    assert {x.run: x.words for x in row.split} == {"quirkyzebras": ["quirky", "zebras"]}
+
+
 def test_op6_query(spark):
     urls = dict(map(tuple, sf(spark, "pages").select("page_id", "url").collect()))
     rows = queries.QUERIES["op6_url_filter"](spark, "/root/testdata/sf0.001").collect()
