@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factlab.llm import importance, line_crf, near_copies
+from factlab.llm import importance, line_crf, simhash
 from factlab.llm.common import by_place, importable, place_of, read_table, stored
 from factlab.llm.mixing import mix, repeated
 from factlab.llm.packing import pack
@@ -36,8 +36,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similarity 0.8 on five words, the one of the smallest id."""
-    return near_copies.first_of_each(docs)
+    """One document of each group that fingerprints of two bits link, the one of the smallest id."""
+    return simhash.first_of_each(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
