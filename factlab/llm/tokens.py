@@ -1,7 +1,7 @@
 """Token ids of whole texts as the public libraries give them.
 
 A tokenizer that splits text before it merges gives a word the same ids wherever
-the word stands, so each worker encodes a word once and keeps its ids. Text is cut
+the word stands, so each worker keeps the ids of words, up to ``MEMO_BYTES``. Text is cut
 only where the split is proven to fall in any surroundings:
 
 ``spaced``  byte-level split, nothing normalised: before a single space between two
@@ -23,23 +23,29 @@ from array import array
 from collections.abc import Callable
 from functools import cache
 
-import regex
-
 #: A cut may stand before a space between two of these.
 PLAIN = r"[\w!-~]"
 _CUT = re.compile(rf"(?<={PLAIN})(?= {PLAIN})")
 _PLAIN_ENDS = re.compile(rf"{PLAIN}(?s:.*{PLAIN})?")
 #: Fixed value: the split of ``word_bpe_49k.json``, which leaves white space out.
 _DROPPING_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Fixed value: the split of byte-level vocabularies.
-_BYTE_LEVEL_SPLIT = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-)
 #: A word of printed ASCII and Latin-1 letters, which lower-case and split alike everywhere;
 #: none with the mark that special strings start with. Newlines stand in byte-level words.
 _LATIN = re.compile(r" ?[\n!-;=-~À-ÖØ-öø-ÿ]+")
-#: Words whose ids a worker keeps. Beyond it the later half goes: common words come early.
-MEMO_WORDS = 500_000
+#: The same splits where only such characters occur.
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_SIGNS = r"[!-/:-@\[-`{-~]"
+_LATIN_SPLITS = {
+    "dropped": rf"'s|'t|'re|'ve|'m|'ll|'d|{_LETTERS}+|[0-9]|{_SIGNS}+",
+    "spaced": rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_LETTERS}+| ?[0-9]+| ?{_SIGNS}+|\s+(?!\S)|\s+",
+}
+#: Bytes of words and ids that a worker keeps, their objects and places included.
+MEMO_BYTES = 48_000_000
+_ENTRY_BYTES = 120
+#: A sign between a letter and white space is a piece by itself in either split.
+_STOP = re.compile(rf"[.,:;?!](?=[ \n])(?<={_LETTERS}.)")
+#: Stands in front of a word that follows the one before without a space.
+_MARK = "\0"
 
 
 def cut_mode(path: str) -> str | None:
@@ -80,20 +86,26 @@ def cuts(text: str, mode: str) -> set[int]:
 
 
 class _Memo(dict):
-    """Ids by word, made when a word is first met."""
+    """Ids by word, made when a word is first met; None for a word without ids of its own.
+
+    Half of ``MEMO_BYTES`` is for words met since the last turn, half for those of the turn
+    before. A full turn replaces the one before, so words in use stay and others go.
+    """
 
     def __init__(self, make: Callable[[str], bytes | None]):
-        self._make = make
+        self._make, self._older, self._left = make, {}, MEMO_BYTES // 2
 
     def __missing__(self, word: str) -> bytes | None:
-        ids = self[word] = self._make(word)
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._make(word)
+        self._left -= _ENTRY_BYTES + len(word)
+        if self._left < 0:
+            self._older, self._left = dict(self), MEMO_BYTES // 2
+            self.clear()
+        self[word] = ids
         return ids
 
-    def shrink(self) -> None:
-        if len(self) > MEMO_WORDS:
-            for word in list(self)[MEMO_WORDS // 2 :]:
-                del self[word]
-
 
 class Codec:
     """Ids of whole texts, without begin, end or added special tokens.
@@ -120,43 +132,67 @@ class Codec:
         self.library.no_padding()
         self._whole = lambda text: _packed(self.library.encode(text, add_special_tokens=False).ids)
         if self.mode:
-            model, letters = self.library.model, _byte_letters().__getitem__
-            pattern = _DROPPING_SPLIT if self.mode == "dropped" else _BYTE_LEVEL_SPLIT
-            self._split = regex.compile(pattern).findall
-            self._pieces = _Memo(
-                lambda piece: _packed(
-                    [x.id for x in model.tokenize("".join(map(letters, piece.encode())))]
-                )
-            )
-            self._exact = _Memo(self._word)
-            # A word at whose ends the cut is not proven has no ids of its own.
-            self._spaced = _Memo(
-                lambda word: self._word(f" {word}") if _PLAIN_ENDS.fullmatch(word) else None
-            )
+            self._model, self._letters = self.library.model, _byte_letters()
+            self._split = re.compile(_LATIN_SPLITS[self.mode]).findall
+            self._memo = _Memo(self._lowered if self.mode == "dropped" else self._after_space)
+
+    def _after_space(self, word: str) -> bytes | None:
+        """Ids of a space and the word, or of the rest of one that starts with ``_MARK``.
+
+        A word at whose ends the cut is not proven has no ids of its own.
+        """
+        if word.isalpha() and _LATIN.fullmatch(word):
+            return self._merged(f" {word}")
+        if word.startswith(_MARK):
+            rest = word[1:]
+            return self._word(rest) if _PLAIN_ENDS.fullmatch(rest.lstrip("\n")) else None
+        return self._word(f" {word}") if _PLAIN_ENDS.fullmatch(word) else None
+
+    def _lowered(self, word: str) -> bytes:
+        """Ids of a word where neither space nor case counts."""
+        if not _LATIN.fullmatch(word):
+            return self._whole(word)
+        low = word.lower()
+        if low.isalpha():
+            return self._merged(low) if low == word else self._memo[low]
+        return b"".join(map(self._merged, self._split(low)))
 
     def _word(self, word: str) -> bytes:
+        """Ids of a word as it stands."""
+        if self.mode == "dropped":
+            return self._lowered(word)
         if not _LATIN.fullmatch(word):
             return self._whole(word)
-        pieces = self._split(word.lower() if self.mode == "dropped" else word)
-        return b"".join(map(self._pieces.__getitem__, pieces))
+        if word.isalpha() or word[0] == " " and word[1:].isalpha():
+            return self._merged(word)
+        return b"".join(map(self._merged, self._split(word)))
+
+    def _merged(self, piece: str) -> bytes:
+        """Ids of one piece of the split, by the library's model."""
+        if piece.isascii() and "\n" not in piece:
+            piece = piece.replace(" ", "Ġ")
+        else:
+            piece = "".join([self._letters[byte] for byte in piece.encode()])
+        return _packed([x.id for x in self._model.tokenize(piece)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not self.mode:
             return self._whole(text)
-        for memo in (self._pieces, self._exact, self._spaced):
-            memo.shrink()
+        ids = self._memo.__getitem__
         if self.mode == "dropped":
-            return b"".join(map(self._exact.__getitem__, text.replace("\n", " ").split(" ")))
-        first, *rest = text.split(" ")
-        if not rest:
-            return self._exact[first]
-        if _PLAIN_ENDS.fullmatch(first):
+            return b"".join(map(ids, _STOP.sub(r" \g<0>", text).replace("\n", " ").split(" ")))
+        # One newline between two plain characters is a piece by itself: a cut goes before it.
+        cut = f" {_MARK}"
+        first, *rest = _STOP.sub(rf"{cut}\g<0>", text).replace("\n", f"{cut}\n").split(" ")
+        if rest and _PLAIN_ENDS.fullmatch(first) and _MARK not in text:
             try:
-                return self._exact[first] + b"".join(map(self._spaced.__getitem__, rest))
+                return self._word(first) + b"".join(map(ids, rest))
             except TypeError:
                 pass
-        return b"".join(map(self._exact.__getitem__, _CUT.split(text)))
+        first, *rest = _CUT.split(text)
+        parts = [ids(part[1:]) or self._word(part) for part in rest]
+        return b"".join([self._word(first) if first else b"", *parts])
 
 
 def _byte_letters() -> list[str]:
