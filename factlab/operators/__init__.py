@@ -1,4 +1,5 @@
-"""Operators from DataFrame to DataFrame. All are lazy: none runs a job."""
+"""Operators from DataFrame to DataFrame. All are lazy but those of ``numbering``,
+which write their sorted rows once."""
 
 from factlab.operators.aggregates import (
     Stat,
@@ -11,6 +12,7 @@ from factlab.operators.aggregates import (
 from factlab.operators.filters import filter_all
 from factlab.operators.joins import join_to_groups, lookup_join, merge_join
 from factlab.operators.moving import moving_average
+from factlab.operators.numbering import numbered, ranked
 from factlab.operators.ranking import preview, top_k, top_ranked
 from factlab.operators.reuse import shared
 
