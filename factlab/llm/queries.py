@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factlab.llm import ann, importance, license_scan, line_crf, simhash, url_filter
+from factlab.llm import (
+    ann,
+    conversation_repair,
+    embedding_lsh,
+    importance,
+    license_scan,
+    line_crf,
+    simhash,
+    target_resampling,
+    url_filter,
+)
 from factlab.llm.common import importable, read_table, stored
 from factlab.llm.mixing import mix, taken_words
 from factlab.llm.packing import pack
@@ -203,3 +213,28 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
     judged = url_filter.judged(pages, URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+# ---- conversations ------------------------------------------------------------------
+
+
+@_query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
+# ---- target distribution --------------------------------------------------------------
+
+
+@_query
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, target = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return target_resampling.resampled(docs, target)
+
+
+# ---- near-duplicate embeddings ----------------------------------------------------------
+
+
+@_query
+def op13_embedding_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_lsh.classes(read_table(spark, sf_dir, "embeddings"))
