@@ -13,7 +13,7 @@ Equal vectors are one node. Buckets of one node go before vectors are shuffled.
 buckets than ``CHUNK`` are dealt to pairs of chunks, so a task holds two chunks whatever
 the bucket. There, cosines of all pairs are taken in double precision. A pair counts in
 the first table in which it shares a bucket, so each link counts once; of the links of a
-chunk pair, those of a spanning forest are passed on, at most one for each vector.
+chunk pair, those of a spanning forest are passed on; small groups pass on all of theirs.
 
 Vectors that are NULL, zero, or hold NULL or a value that is not finite link with nothing;
 vectors link only with those of the same length. Every row is a vector of its own: rows of
@@ -24,6 +24,7 @@ empty result. Only the two columns named are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 from math import ceil, erfc, exp, log, pi, sqrt
 
@@ -41,6 +42,8 @@ WIDTH = 2.0
 MISS = 0.0001
 CHUNK = 1024
 SEED = 29
+#: Groups of up to so many vectors are paired side by side.
+_FEW = 48
 #: Cosines this near to the limit are taken anew from the vectors as given.
 _CLOSE = 1e-9
 
@@ -95,8 +98,7 @@ def links_of(
     for i in range(len(units) - 1):
         cosines = units[i + 1 :] @ units[i]
         for j in np.flatnonzero(np.abs(cosines - similarity) < _CLOSE):
-            a, b = (x / np.abs(x).max() for x in (vectors[i], vectors[i + 1 + j]))
-            cosines[j] = np.dot(a, b) / (sqrt(np.dot(a, a)) * sqrt(np.dot(b, b)))
+            cosines[j] = _cosine(vectors[i], vectors[i + 1 + j])
         near = cosines >= similarity
         if two:
             near &= apart[i + 1 :] != apart[i]
@@ -113,6 +115,39 @@ def links_of(
     return counts, forest
 
 
+def few_links(
+    vectors: np.ndarray, keys_: np.ndarray, tables: np.ndarray, number: np.ndarray, apart: np.ndarray, similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """New links i, j of many small groups at once; rows of a ``number`` stand together.
+
+    Rows of two different ``apart`` in a group pair across these only.
+    """
+    units = _units(vectors)
+    change = np.append(np.flatnonzero(np.diff(number)) + 1, len(number)) if len(number) else np.zeros(0, int)
+    begin = np.concatenate([[0], change[:-1]]) if len(number) else change
+    two = np.minimum.reduceat(apart, begin) != np.maximum.reduceat(apart, begin) if len(begin) else change
+    two = np.repeat(two, change - begin)
+    i, step = np.arange(len(number)), 0
+    while len(i):
+        step += 1
+        i = i[i + step < len(number)]
+        i = i[number[i + step] == number[i]]
+        j = i + step
+        cosines = np.einsum("ij,ij->i", units[i], units[j])
+        for at in np.flatnonzero(np.abs(cosines - similarity) < _CLOSE):
+            cosines[at] = _cosine(vectors[i[at]], vectors[j[at]])
+        near = (cosines >= similarity) & ~(two[i] & (apart[i] == apart[j]))
+        a, b = i[near], j[near]
+        before = np.arange(keys_.shape[1]) < tables[a][:, None]
+        new = ~((keys_[a] == keys_[b]) & before).any(axis=1)
+        yield a[new], b[new]
+
+
+def _cosine(a: np.ndarray, b: np.ndarray) -> float:
+    a, b = a / np.abs(a).max(), b / np.abs(b).max()
+    return np.dot(a, b) / (sqrt(np.dot(a, a)) * sqrt(np.dot(b, b)))
+
+
 def _root(root: list[int], i: int) -> int:
     while root[i] != i:
         root[i] = root[root[i]]
@@ -156,28 +191,70 @@ def near_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     met = met.join(sized.select("node", "v", "copies", "keys").hint("merge"), "node")
 
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-
-    def check(key: tuple, rows: pa.Table) -> pa.Table:
-        size, table = key[0].as_py(), key[1].as_py()
-        node = rows.column("node").to_numpy()
-        vectors = rows.column("v").combine_chunks().flatten()
-        vectors = vectors.to_numpy(zero_copy_only=False).reshape(-1, size)
-        keys_ = rows.column("keys").combine_chunks().flatten()
-        keys_ = keys_.to_numpy(zero_copy_only=False).reshape(len(node), -1)
-        mine, copies = rows.column("mine").to_numpy(), rows.column("copies").to_numpy()
-        if key[3].as_py() != key[4].as_py() and mine.min() == mine.max():
-            return schema.empty_table()
-        counts, forest = links_of(vectors, keys_, table, mine, copies, similarity)
-        linked = np.flatnonzero(counts)
-        pairs = np.array(forest, np.int64).reshape(-1, 2)
-        a = np.concatenate([node[pairs[:, 0]], node[linked]])
-        b = pa.concat_arrays([pa.array(node[pairs[:, 1]]), pa.nulls(len(linked), pa.int64())])
-        n = pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(counts[linked])])
-        return pa.Table.from_arrays([pa.array(a), b, n], schema=schema)
-
-    found = met.groupBy(*bucket, "one", "two").applyInArrow(check, "a long, b long, n long")
-    return stored(found, "lsh-links")
+    group = [*bucket, "one", "two"]
+    dealt = met.repartition(*group).sortWithinPartitions(*group)
+    dealt = dealt.select(*group, "node", "copies", "mine", "v", "keys")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts in _whole_groups(batches, group):
+            yield _links(rows, starts, similarity)
+
+    return stored(dealt.mapInArrow(check, "a long, b long, n long"), "lsh-links")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of whole groups with the starts of these, some ``CHUNK`` rows at once."""
+    waiting = None
+    parts = (batch.slice(a, CHUNK) for batch in batches for a in range(0, batch.num_rows, CHUNK))
+    for part in parts:
+        rows = pa.Table.from_batches([part])
+        rows = rows if waiting is None else pa.concat_tables([waiting, rows])
+        ids = np.stack([rows.column(name).to_numpy() for name in group])
+        starts = np.concatenate([[0], np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1])
+        if starts[-1]:
+            yield rows.slice(0, starts[-1]), starts[:-1]
+        waiting = rows.slice(starts[-1])
+    if waiting is not None:
+        yield waiting, np.zeros(1, np.int64)
+
+
+def _links(rows: pa.Table, starts: np.ndarray, similarity: float) -> pa.RecordBatch:
+    """The new links of whole groups: a forest of pairs, and numbers of links with b NULL."""
+    rows = rows.combine_chunks()
+    node, copies, mine = (rows.column(name).to_numpy() for name in ("node", "copies", "mine"))
+    sizes, tables = rows.column("size").to_numpy(), rows.column("at").to_numpy()
+    keys_ = _matrix(rows, "keys", 0, len(node))
+    counts, pairs = np.zeros(len(node), np.int64), []
+    cuts = np.append(starts, len(node))
+    # Groups of vectors of one length: large ones by themselves, the small ones at once.
+    for run in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(sizes[starts])) + 1):
+        first, last = int(cuts[run[0]]), int(cuts[run[-1] + 1])
+        vectors = _matrix(rows, "v", first, last)
+        lengths = np.diff(cuts[run[0] : run[-1] + 2])
+        few = np.flatnonzero(np.repeat(lengths <= _FEW, lengths))
+        number = np.repeat(np.arange(len(lengths)), lengths)[few]
+        part = few + first
+        found = few_links(vectors[few], keys_[part], tables[part], number, mine[part], similarity)
+        for i, j in found:
+            np.add.at(counts, part[i], copies[part[j]])
+            np.add.at(counts, part[j], copies[part[i]])
+            pairs += zip(part[i].tolist(), part[j].tolist())
+        for g in np.flatnonzero(lengths > _FEW) + run[0]:
+            a, b = cuts[g], cuts[g + 1]
+            n, forest = links_of(vectors[a - first : b - first], keys_[a:b], int(tables[a]), mine[a:b], copies[a:b], similarity)
+            counts[a:b] += n
+            pairs += [(int(a) + i, int(a) + j) for i, j in forest]
+    linked = np.flatnonzero(counts)
+    ends = node[np.array(pairs, np.int64).reshape(-1, 2)]
+    a = np.concatenate([ends[:, 0], node[linked]])
+    b = pa.concat_arrays([pa.array(ends[:, 1]), pa.nulls(len(linked), pa.int64())])
+    n = pa.concat_arrays([pa.nulls(len(ends), pa.int64()), pa.array(counts[linked])])
+    return pa.RecordBatch.from_arrays([pa.array(a), b, n], ["a", "b", "n"])
+
+
+def _matrix(rows: pa.Table, name: str, first: int, last: int) -> np.ndarray:
+    values = rows.column(name).slice(first, last - first).combine_chunks().flatten()
+    return values.to_numpy(zero_copy_only=False).reshape(last - first, -1)
 
 
 def classes(

@@ -27,7 +27,8 @@ def slow(rows, similarity=0.9):
         return i
 
     counts = [0] * len(rows)
-    units = [np.array(v, float) / np.linalg.norm(np.array(v, float)) if good(v) else None for _, v in rows]
+    scaled = [np.array(v, float) / max(map(abs, v)) if good(v) else None for _, v in rows]
+    units = [None if v is None else v / np.linalg.norm(v) for v in scaled]
     for i, a in enumerate(units):
         for j in range(i):
             b = units[j]
