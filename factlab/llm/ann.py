@@ -9,22 +9,26 @@ than those has had its chance. A window of half-width r holds a vector at distan
 line with probability 0.683, and one of twice the distance with 0.383.
 
 All vectors are indexed and there is no cap on candidates: where windows come to hold a
-whole block, all of it is verified. Queries and vectors meet in blocks of bounded size;
-the block results of a query are merged by distance.
+whole block, all of it is verified. Each block of vectors is shuffled and indexed once, and
+all queries pass by it in batches; the block results of a query are merged by distance.
 
 Vectors that are NULL, zero, or hold NULL or a value that is not finite take no part, nor
 do rows without id. Only vectors of the same length are compared. Ties go to the smaller
-id; repeated ids are candidates each, except for a query of their id. Distances are
+id; repeated ids are candidates each, except for a query of their id. Query rows of one id
+are asked once for each different vector, ranks being given for each. Distances are
 Euclidean, in double precision. An empty table, or one without queries, gives an empty
 result. Only the two columns named are read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from factlab.llm.common import stored
 
@@ -32,9 +36,8 @@ HASHES = 40
 THRESHOLD = 0.55
 GROWTH = 1.15
 SEED = 17
-#: Rows of a block of vectors and of queries.
+#: Rows of a block of vectors.
 BLOCK = 16_384
-QUERIES = 1_024
 
 
 class Index:
@@ -107,46 +110,56 @@ def nearest(
         F.coalesce(queries, F.lit(False)).alias("asks"),
     )
     rows = stored(rows.withColumn("size", F.size("v")), "vectors")
-    n, asked = rows.agg(F.count("*"), F.count_if("asks")).first()
-    blocks, turns = -(-max(n, 1) // BLOCK), -(-max(asked, 1) // QUERIES)
+    n = rows.count()
+    blocks = -(-max(n, 1) // BLOCK)
     # A third of the rows may have one id: the vector decides the block too.
     block = F.pmod(F.xxhash64("id", "v"), F.lit(blocks))
-    turn = F.pmod(F.xxhash64("v", "id"), F.lit(turns))
-    keys = ["size", "block", "turn"]
-    base = rows.withColumn("block", block).withColumn(
-        "turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1)).cast("array<long>"))
-    )
-    asks = rows.where("asks").withColumn("turn", turn).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
-    )
-
-    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())])
-
-    def search(key: tuple, base: pa.Table, asks: pa.Table) -> pa.Table:
-        if not base.num_rows or not asks.num_rows:
-            return schema.empty_table()
-        size = key[0].as_py()
-        ids, vectors = _arrays(base, size)
-        index = Index(vectors, _lines(size))
-        found = []
-        for query_id, query in zip(*_arrays(asks, size)):
-            places, distances = index.search(query, k, ids == query_id)
-            best = places[np.lexsort((ids[places], distances[places]))[:k]]
-            found.append((np.full(len(best), query_id), ids[best], distances[best]))
-        columns = [pa.array(np.concatenate(x)) for x in zip(*found)]
-        return pa.Table.from_arrays(columns, schema=schema)
-
-    near = (
-        base.groupBy(*keys)
-        .cogroup(asks.groupBy(*keys))
-        .applyInArrow(search, "query_id long, id long, score double")
-    )
-    order = Window.partitionBy("query_id").orderBy("score", "id")
+    base = rows.select("size", block.alias("block"), F.lit(False).alias("asks"), "id", "v")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>"))
+    asks = rows.where("asks").groupBy("size", "id", "v").agg(F.first("asks").alias("asks"))
+    asks = asks.select("size", every.alias("block"), "asks", "id", "v")
+    # A block's vectors come before the queries, which then pass by its index batch by batch.
+    met = base.unionByName(asks).repartition("size", "block").sortWithinPartitions("size", "block", "asks")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, index, ids = None, [], None, None
+        for rows in _runs(batches):
+            size, asking = rows.column("size")[0].as_py(), rows.column("asks")[0].as_py()
+            key = (size, rows.column("block")[0].as_py())
+            if key != at:
+                at, parts, index = key, [], None
+            if not asking:
+                parts.append(_arrays(rows, size))
+                continue
+            if index is None:
+                if not parts:
+                    continue
+                ids = np.concatenate([x for x, _ in parts])
+                index, parts = Index(np.concatenate([x for _, x in parts]), _lines(size)), [()]
+            found = []
+            for query_id, query in zip(*_arrays(rows, size)):
+                places, distances = index.search(query, k, ids == query_id)
+                best = places[np.lexsort((ids[places], distances[places]))[:k]]
+                ask = xxh64_intdigest(query.tobytes()) >> 1
+                found.append((np.full(len(best), query_id), np.full(len(best), ask), ids[best], distances[best]))
+            columns = [pa.array(np.concatenate(x)) for x in zip(*found)]
+            yield pa.RecordBatch.from_arrays(columns, ["query_id", "ask", "id", "score"])
+
+    near = met.mapInArrow(search, "query_id long, ask long, id long, score double")
+    order = Window.partitionBy("query_id", "ask").orderBy("score", "id")
     ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_column), "score")
 
 
-def _arrays(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
-    vectors = table.column("v").combine_chunks()
-    values = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-    return table.column("id").to_numpy(), values
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where length, block or kind of row change."""
+    for batch in batches:
+        kinds = [batch.column(name).to_numpy(zero_copy_only=False) for name in ("size", "block", "asks")]
+        change = np.any([kind[1:] != kind[:-1] for kind in kinds], axis=0)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
+
+
+def _arrays(rows: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    values = rows.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+    return rows.column("id").to_numpy(), values

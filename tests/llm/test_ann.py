@@ -38,10 +38,9 @@ def recall(got, want):
     return hits / max(1, sum(map(len, want.values())))
 
 
-@pytest.mark.parametrize("block, turn", [(ann.BLOCK, ann.QUERIES), (64, 3)])
-def test_op10_on_whole_table(spark, monkeypatch, block, turn):
+@pytest.mark.parametrize("block", [ann.BLOCK, 64])
+def test_op10_on_whole_table(spark, monkeypatch, block):
     monkeypatch.setattr(ann, "BLOCK", block)
-    monkeypatch.setattr(ann, "QUERIES", turn)
     rows = list(map(tuple, sf(spark, "embeddings").select("vec_id", "embedding").collect()))
     want = brute(rows, lambda i: i % 100 == 0, 10)
     got = list(map(tuple, queries.QUERIES["op10_collision_ann"](spark, "/root/testdata/sf0.001").collect()))
@@ -111,3 +110,14 @@ def test_one_vector_many_times(spark):
     ]
     found = ann.nearest(table(spark, rows, SCHEMA), F.col("vec_id") == 300).collect()
     assert [row.vec_id for row in sorted(found, key=lambda row: row["rank"])] == list(range(0, 30, 3))
+
+
+@pytest.mark.parametrize("block", [ann.BLOCK, 4])
+def test_repeated_query_rows_are_asked_once_for_each_vector(spark, monkeypatch, block):
+    monkeypatch.setattr(ann, "BLOCK", block)
+    rows = [(i, [float(i), 1.0], "") for i in range(1, 13)]
+    rows += [(100, [0.0, 1.0], "")] * 2 + [(200, [0.0, 1.0], ""), (200, [12.4, 1.0], "")]
+    got = ann.nearest(table(spark, rows, SCHEMA), F.col("vec_id").isin(100, 200), 3).collect()
+    of = lambda i: sorted((x.rank, x.vec_id) for x in got if x.query_id == i)
+    assert of(100) == [(1, 200), (2, 1), (3, 2)]
+    assert of(200) == [(1, 12), (1, 100), (2, 11), (2, 100), (3, 1), (3, 10)]
