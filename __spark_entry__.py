@@ -8,7 +8,6 @@ that Spark derives from lineitem, NULLs included; their oracles derive the same
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -864,14 +863,17 @@ _report(
 # ---- training-data operators ---------------------------------------------------------
 # They and the pipeline live in a subpackage that may be absent.
 
-if find_spec("factlab.llm"):
+try:
     from factlab.llm.queries import ORACLES, QUERIES
-
-    _QUERIES.update(QUERIES)
-    _ORACLES.update(ORACLES)
-if find_spec("factlab.llm") and find_spec("corpus_pipeline"):
+except ImportError:
+    QUERIES, ORACLES = {}, {}
+_QUERIES.update(QUERIES)
+_ORACLES.update(ORACLES)
+try:
     import corpus_pipeline
-
+except ImportError:
+    pass
+else:
     _QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL:
         _ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

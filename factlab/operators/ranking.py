@@ -54,11 +54,11 @@ def top_ranked(
 def _single_winner(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rank_as: str
 ) -> DataFrame:
-    # Of the rows of greatest order values, the largest struct of the columns left.
-    # The maximum of a struct sorts its input, so only these few rows get there.
-    rows = _greatest(df, keys, order)
-    others = [name for name in df.columns if name not in keys]
-    winner = F.max(F.struct(*others)).alias("_winner")
+    # The maximum of a struct sorts its input, so only the rows of each group's greatest
+    # first value get there; the further columns take no round of their own.
+    rows = _greatest(df, keys, order[:1])
+    others = [*order, *(name for name in df.columns if name not in (*keys, *order))]
+    winner = F.max(F.struct(*dict.fromkeys(others))).alias("_winner")
     columns = [F.col(name if name in keys else f"_winner.{name}") for name in df.columns]
     return rows.groupBy(*keys).agg(winner).select(*columns, F.lit(1).alias(rank_as))
 

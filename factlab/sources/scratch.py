@@ -43,8 +43,9 @@ def remove_scratch(spark: SparkSession | None = None) -> None:
     """
     for owner, path in [x for x in _written if spark is None or x[0] is spark]:
         _written.remove((owner, path))
+        # After the end of a session its context is another object, or the bare class.
         context = owner.sparkContext
-        if context._jsc is not None:
+        if getattr(context, "_jsc", None) is not None:
             target = context._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
