@@ -28,16 +28,21 @@ from factlab.functions import (
 from factlab.operators import (
     Stat,
     above_global_mean,
+    asof_join,
+    by_days,
     daily_counts,
     filter_all,
     global_mean,
+    grouped_levels,
     grouped_stats,
+    interval_join,
     join_to_groups,
     lookup_join,
     merge_join,
     moving_average,
     period_summary,
     preview,
+    ranked,
     shared,
     top_k,
     top_ranked,
@@ -860,6 +865,160 @@ _report(
 )
 
 
+# ---- time joins, numbering, grouping sets ---------------------------------------------
+
+
+@_query(
+    "q25_asof",
+    """with last as (select o_custkey, o_orderdate, max(o_orderkey) as o_orderkey
+         from orders group by all)
+       select e.event_id, e.user_id, e.ts, o.o_orderdate as order_date, o.o_orderkey as order_key
+       from events as e asof left join last as o
+         on e.user_id = o.o_custkey and e.ts >= o.o_orderdate""",
+)
+def q25_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its user's last order before it."""
+    return asof_join(
+        _table(spark, sf_dir, "events").select("event_id", "user_id", "ts"),
+        _table(spark, sf_dir, "orders"),
+        [("user_id", "o_custkey")],
+        "ts",
+        "o_orderdate",
+        {"o_orderdate": "order_date", "o_orderkey": "order_key"},
+        by_days(365),
+    )
+
+
+@_query(
+    "q25_asof_ships",
+    """with shipped as (select l_suppkey, l_shipdate, max(l_orderkey) as l_orderkey
+         from lineitem where l_returnflag = 'R' group by all)
+       select i.l_orderkey, i.l_linenumber, i.l_suppkey, i.l_shipdate,
+              r.l_shipdate as last_return, r.l_orderkey as returned_order
+       from (select * from lineitem where l_returnflag = 'A') as i asof left join shipped as r
+         on i.l_suppkey = r.l_suppkey and i.l_shipdate >= r.l_shipdate""",
+)
+def q25_asof_ships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each accepted item with its supplier's last returned one up to its day."""
+    items = _table(spark, sf_dir, "lineitem")
+    return asof_join(
+        items.where("l_returnflag = 'A'").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"),
+        items.where("l_returnflag = 'R'"),
+        [("l_suppkey", "l_suppkey")],
+        "l_shipdate",
+        "l_shipdate",
+        {"l_shipdate": "last_return", "l_orderkey": "returned_order"},
+        by_days(90),
+    )
+
+
+@_query(
+    "q26_interval_points",
+    """select c.event_id as click_id, c.ts as clicked_at, e.event_id as error_id, e.ts as failed_at
+       from events as c join events as e on c.user_id = e.user_id
+        and c.ts between e.ts and e.ts + interval 6 hours
+       where c.event_type = 'click' and e.event_type = 'error'""",
+)
+def q26_interval_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks within six hours after an error of the same user."""
+    events = _table(spark, sf_dir, "events")
+    clicks = events.where("event_type = 'click'").select(
+        F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("clicked_at")
+    )
+    errors = events.where("event_type = 'error'").select(
+        F.col("event_id").alias("error_id"),
+        F.col("user_id").alias("failed_user"),
+        F.col("ts").alias("failed_at"),
+        F.expr("ts + interval 6 hours").alias("until"),
+    )
+    pairs = interval_join(
+        clicks, errors, [("user_id", "failed_user")], ("clicked_at", "clicked_at"), ("failed_at", "until")
+    )
+    return pairs.drop("user_id", "failed_user", "until")
+
+
+@_query(
+    "q26_interval_overlaps",
+    """select a.o_orderkey as one, b.o_orderkey as other, a.o_custkey as customer
+       from orders as a join orders as b on a.o_custkey = b.o_custkey
+        and a.o_orderdate <= b.o_orderdate + interval 30 days
+        and b.o_orderdate <= a.o_orderdate + interval 30 days
+       where a.o_orderkey < b.o_orderkey""",
+)
+def q26_interval_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of orders of a customer whose windows of 30 days overlap."""
+
+    def windows(name: str) -> DataFrame:
+        return _table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").alias(name),
+            F.col("o_custkey").alias(f"{name}_customer"),
+            F.col("o_orderdate").alias(f"{name}_from"),
+            F.expr("o_orderdate + interval 30 days").alias(f"{name}_to"),
+        )
+
+    pairs = interval_join(
+        windows("one"),
+        windows("other"),
+        [("one_customer", "other_customer")],
+        ("one_from", "one_to"),
+        ("other_from", "other_to"),
+        by_days(30),
+    )
+    return pairs.where("one < other").select("one", "other", F.col("one_customer").alias("customer"))
+
+
+@_query(
+    "q27_ranked",
+    """select o_orderkey, o_totalprice, o_orderpriority,
+              row_number() over (order by o_totalprice desc, o_orderkey) as place,
+              ntile(100) over (order by o_totalprice desc, o_orderkey) as part
+       from orders""",
+)
+def q27_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders numbered and cut into hundredths by price."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return ranked(orders, ["-o_totalprice", "o_orderkey"], "place", ntile=("part", 100))
+
+
+@_query(
+    "q27_ranked_ties",
+    """select o_orderkey, o_orderdate, rank() over w as rank, dense_rank() over w as dense,
+              round(percent_rank() over w, 9) as share, round(cume_dist() over w, 9) as upto
+       from orders window w as (order by o_orderdate)""",
+)
+def q27_ranked_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks of orders by day, with many ties."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    days = ranked(
+        orders, ["o_orderdate"], rank="rank", dense_rank="dense", percent_rank="share", cume_dist="upto"
+    )
+    return days.drop("row_number").withColumns({c: F.round(c, 9) for c in ("share", "upto")})
+
+
+@_query(
+    "q28_cube",
+    """select l_returnflag, l_linestatus, grouping_id(l_returnflag, l_linestatus)::bigint as level,
+              count(*) as n, round(avg(l_quantity::decimal(18, 2)), 4) as avg_quantity
+       from lineitem group by cube (l_returnflag, l_linestatus)""",
+)
+def q28_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = [Stat("avg_quantity", "mean", "l_quantity", 4)]
+    items = _table(spark, sf_dir, "lineitem")
+    return grouped_levels(items, ["l_returnflag", "l_linestatus"], "cube", stats)
+
+
+@_query(
+    "q28_rollup",
+    """select order_year, o_orderpriority, o_orderstatus,
+              grouping_id(order_year, o_orderpriority, o_orderstatus)::bigint as level, count(*) as n
+       from (select *, year(o_orderdate)::int as order_year from orders)
+       group by rollup (order_year, o_orderpriority, o_orderstatus)""",
+)
+def q28_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    return grouped_levels(orders, ["order_year", "o_orderpriority", "o_orderstatus"], "rollup", [])
+
+
 # ---- training-data operators ---------------------------------------------------------
 # They and the pipeline live in a subpackage that may be absent.
 

@@ -6,6 +6,7 @@ from factlab.operators.aggregates import (
     above_global_mean,
     daily_counts,
     global_mean,
+    grouped_levels,
     grouped_stats,
     period_summary,
 )
@@ -15,14 +16,20 @@ from factlab.operators.moving import moving_average
 from factlab.operators.numbering import numbered, ranked
 from factlab.operators.ranking import preview, top_k, top_ranked
 from factlab.operators.reuse import shared
+from factlab.operators.time_joins import asof_join, by_day, by_days, interval_join
 
 __all__ = [
     "Stat",
     "above_global_mean",
+    "asof_join",
+    "by_day",
+    "by_days",
     "daily_counts",
     "filter_all",
     "global_mean",
+    "grouped_levels",
     "grouped_stats",
+    "interval_join",
     "join_to_groups",
     "lookup_join",
     "merge_join",

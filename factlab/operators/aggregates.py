@@ -62,6 +62,32 @@ def grouped_stats(
     return groups.filter(F.col(count_as) >= min_rows) if min_rows else groups
 
 
+def grouped_levels(
+    df: DataFrame,
+    keys: Sequence[str],
+    levels: Literal["cube", "rollup"] | Sequence[Sequence[str]],
+    stats: Sequence[Stat],
+    level_as: str = "level",
+    count_as: str = "n",
+    nulls: Nulls = "skip",
+    ddof: int = 1,
+) -> DataFrame:
+    """``grouped_stats`` for several sets of ``keys`` in one scan and one shuffle.
+
+    ``levels`` is every set (cube), every prefix (rollup), or the sets themselves. Keys that
+    a set leaves out are NULL; ``level_as`` has a bit for each of them, the first key the
+    highest, which tells such totals from groups of a NULL key.
+    """
+    columns = [F.grouping_id().cast("long").alias(level_as), F.count(F.lit(1)).alias(count_as)]
+    columns += [_stat_column(stat, nulls, ddof) for stat in stats]
+    if levels == "cube":
+        return df.cube(*keys).agg(*columns)
+    if levels == "rollup":
+        return df.rollup(*keys).agg(*columns)
+    sets = [[F.col(key) for key in chosen] for chosen in levels]
+    return df.groupingSets(sets, *keys).agg(*columns)
+
+
 def global_mean(df: DataFrame, value: str, mean_as: str = "mean") -> DataFrame:
     """One row: the mean of ``value`` over the rows that have one."""
     return df.agg(F.avg(value).alias(mean_as))
