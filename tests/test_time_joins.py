@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from factlab.benchmarks import sql_settings
 from factlab.operators import Stat, asof_join, grouped_levels, interval_join, numbered, ranked
 
 
@@ -89,14 +90,14 @@ def test_ranks_of_ties_and_nulls(spark):
     assert ranked(df.limit(0), ["id"], "n", "r", "d", "p", "c", ("t", 7)).collect() == []
 
 
-def test_a_hot_value_is_numbered_by_many_tasks(skewed_session):
-    spark = skewed_session
+def test_a_hot_value_is_numbered_by_many_tasks(spark):
     with_hot = spark.range(0, 40_000, 1, 8).select(F.lit(1).alias("same"), "id")
-    got = numbered(with_hot, ["same"])
-    assert got.agg(F.count_distinct("row_number"), F.max("row_number")).first() == (40_000, 40_000)
+    with sql_settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        got = numbered(with_hot, ["same"])
+        assert got.agg(F.count_distinct("row_number"), F.max("row_number")).first() == (40_000, 40_000)
     path = got.inputFiles()[0].rsplit("/", 1)[0]
     tasks = spark.read.parquet(path).groupBy(F.shiftright("_at", 33).alias("t")).count().collect()
-    assert len(tasks) > 1 and max(x["count"] for x in tasks) < 40_000
+    assert len(tasks) == 4 and max(x["count"] for x in tasks) < 20_000
 
 
 def test_totals_differ_from_null_keys(spark):
