@@ -21,6 +21,7 @@ read, so other columns may have any name.
 from __future__ import annotations
 
 import struct
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -233,8 +234,9 @@ def write_token_files(
     """Writes one file for each range of ids below ``path``, which all executors share.
 
     Returns the lazy manifest (shard, file, n_docs, n_ids): whoever writes it runs the
-    job. A task writes under a name of its own and renames at its end, so one that runs
-    again leaves the same file.
+    job. Each attempt of a task writes a file of its own, which is never renamed or removed;
+    the manifest, which Spark commits, names those that count. What failed attempts leave
+    behind is named nowhere.
     """
     texts = docs.select(
         F.col(id_column).cast("long").alias("id"),
@@ -245,13 +247,13 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = _open(path)
-        task, ids, end = TaskContext.get(), codec(tokenizer), struct.pack("<I", end_id)
-        shard, file, n_docs = task.partitionId(), None, 0
-        name = f"{folder}/part-{shard:06d}.pfor"
+        ids, end = codec(tokenizer), struct.pack("<I", end_id)
+        shard, file, n_docs = TaskContext.get().partitionId(), None, 0
+        name = f"part-{shard:06d}-{uuid.uuid4().hex}.pfor"
         for batch in batches:
             if file is None and batch.num_rows:
                 store.create_dir(folder, recursive=True)
-                file = store.open_output_stream(f"{name}.{task.taskAttemptId()}")
+                file = store.open_output_stream(f"{folder}/{name}")
                 writer = FileWriter(file)
             for doc_id, text in zip(batch.column("id").to_pylist(), texts_of(batch, "text")):
                 writer.add(doc_id, ids.encode(text) + end)
@@ -259,11 +261,7 @@ def write_token_files(
         if file is not None:
             writer.close()
             file.close()
-            if store.get_file_info(name).type != fs.FileType.NotFound:
-                store.delete_file(name)
-            store.move(f"{name}.{task.taskAttemptId()}", name)
-            file = f"{path}/part-{shard:06d}.pfor"
-            row = {"shard": shard, "file": file, "n_docs": n_docs, "n_ids": writer.n_ids}
+            row = {"shard": shard, "file": f"{path}/{name}", "n_docs": n_docs, "n_ids": writer.n_ids}
             yield pa.RecordBatch.from_pylist([row])
 
     return ordered.mapInArrow(write, "shard long, file string, n_docs long, n_ids long")

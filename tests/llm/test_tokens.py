@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd_tables import ODD_ROWS, empty, odd, sf, table
@@ -147,6 +148,18 @@ def test_token_files_of_odd_rows(spark, tmp_path):
         raise AssertionError("document 7 is in no file")
 
 
+def test_files_of_a_committed_manifest_outlive_other_attempts(spark, tmp_path):
+    """Attempts that end, or die with their file half written, touch no file but their own."""
+    manifest = _files(spark, odd(spark), tmp_path / "files")
+    want = sorted(map(str, read_token_files(manifest).collect()))
+    again = _files(spark, odd(spark), tmp_path / "files")
+    broken = odd(spark).withColumn("text", F.expr("if(doc_id = 7, raise_error('lost'), text)"))
+    with pytest.raises(Exception, match="lost"):
+        _files(spark, broken, tmp_path / "files")
+    assert sorted(map(str, read_token_files(manifest).collect())) == want
+    assert not {row.file for row in manifest.collect()} & {row.file for row in again.collect()}
+
+
 def test_token_files_of_empty_table(spark, tmp_path):
     assert read_token_files(_files(spark, empty(spark), tmp_path / "none")).collect() == []
 
