@@ -8,6 +8,8 @@ Both models are counted here, over the whole table: word counts on the pages' te
 token counts on all urls, those taken as blocked that hold a word of ``SEEDS`` as a token.
 A tie of the scores allows. Words stay in Spark, where the substrings of each different
 run meet their counts; the driver gets those of ``SHORT`` letters and the seeds only.
+Words and runs may be of any length: words of over ``LONGEST`` letters meet the runs that
+hold their first letters.
 
 A rule is a host and the start of a path. It fits the host and its subdomains; of fitting
 rules the longest text wins, then the one first in code point order. NULL urls and urls
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 
 from factlab.llm.common import by_place, place_of, stored
 
+#: Words of more letters are sought by their first ``LONGEST`` letters; no word is left out.
 LONGEST = 20
 #: Words of so many letters at most are sent to all tasks; there are under 19,000 such words.
 SHORT = 3
@@ -93,6 +96,7 @@ class Words:
         total = total or sum(counts.values()) or 1
         self._total = total
         self._cost = {word: log(total) - log(n) for word, n in counts.items()}
+        self._lengths = {len(word) for word in counts}
         self._unknown = log(total) - log(10)
         self._memo: dict[str, tuple[str, ...]] = {}
 
@@ -106,15 +110,22 @@ class Words:
     def _best(self, run: str) -> tuple[str, ...]:
         """The cheapest words that make ``run``; of equal ones the longest last word."""
         best, back = [0.0], [0]
+        lengths = sorted(size for size in self._lengths if size <= len(run))
+        # The best start of an unknown piece stays the best as the piece grows.
+        open_cost, open_start = 0.0, 0
         for end in range(1, len(run) + 1):
-            options = []
-            for start in range(max(0, end - LONGEST), end):
-                unknown = self._unknown + log(10) * (end - start)
-                cost = self._cost.get(run[start:end], unknown)
-                options.append((best[start] + cost, start))
+            options = [(best[open_start] + self._unknown + log(10) * (end - open_start), open_start)]
+            for size in lengths:
+                if size > end:
+                    break
+                cost = self._cost.get(run[end - size : end])
+                if cost is not None:
+                    options.append((best[end - size] + cost, end - size))
             cost, start = min(options)
             best.append(cost)
             back.append(start)
+            if cost - log(10) * end < open_cost:
+                open_cost, open_start = cost - log(10) * end, end
         words, end = [], len(run)
         while end:
             words.append(run[back[end] : end])
@@ -125,6 +136,7 @@ class Words:
         """These words and those of ``counts``, of the same total."""
         more = Words({}, self._total)
         more._cost = ChainMap({word: log(self._total) - log(n) for word, n in counts.items()}, self._cost)
+        more._lengths = self._lengths | {len(word) for word in counts}
         return more
 
 
@@ -154,9 +166,8 @@ def count_words(pages: DataFrame, html: str) -> DataFrame:
             counts: Counter = Counter()
             for text in batch.column("html").to_pylist():
                 counts.update(x[1] for x in _HTML_WORDS.finditer((text or "").lower()) if x[1])
-            short = {word: n for word, n in counts.items() if len(word) <= LONGEST}
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(short), pa.string()), pa.array(list(short.values()), pa.int64())],
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
                 ["word", "n"],
             )
 
@@ -167,7 +178,10 @@ def count_words(pages: DataFrame, html: str) -> DataFrame:
 def split_runs(found: DataFrame, counts: DataFrame) -> DataFrame:
     """Columns run, words: those of the different runs of ``found`` that do not stay whole.
 
-    Each run meets the counts of its substrings, so no word of ``counts`` is left out.
+    Each run meets the counts of its substrings of up to ``LONGEST`` letters; a longer word
+    meets the runs that hold its first ``LONGEST`` letters, whose tasks look for all of it.
+    So no word of ``counts`` is left out, and a run of n letters gives ``LONGEST`` * n rows
+    at most, which carry its number in place of its text.
     """
     total = counts.agg(F.sum("n")).first()[0] or 0
     more = max(_SEED_COUNT, round(_SEED_SHARE * total))
@@ -179,38 +193,41 @@ def split_runs(found: DataFrame, counts: DataFrame) -> DataFrame:
     def substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, words = [], []
-            for run in batch.column("run").to_pylist():
+            for place, run in zip(batch.column("id").to_pylist(), batch.column("run").to_pylist()):
                 seen = set()
                 for start in range(len(run)):
                     for end in range(start + SHORT + 1, min(len(run), start + LONGEST) + 1):
                         seen.add(run[start:end])
                     if len(seen) >= _BATCH or start == len(run) - 1:
-                        of += [run] * len(seen)
+                        of += [place] * len(seen)
                         words += seen
                         seen = set()
                     if len(of) >= _BATCH:
-                        yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(words)], ["run", "word"])
+                        yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(words)], ["id", "start"])
                         of, words = [], []
-            kinds = [pa.array(x, pa.string()) for x in (of, words)]
-            yield pa.RecordBatch.from_arrays(kinds, ["run", "word"])
+            kinds = [pa.array(of, pa.int64()), pa.array(words, pa.string())]
+            yield pa.RecordBatch.from_arrays(kinds, ["id", "start"])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of, words = [], []
             for row in batch.to_pylist():
-                counts = {x["word"]: x["n"] for x in row["known"] if x["word"] not in SEEDS}
-                best = common.with_more(counts).split(row["run"])
+                run, known = row["run"], row["known"] or ()
+                counts = {x["word"]: x["n"] for x in known if x["word"] not in SEEDS and x["word"] in run}
+                best = common.with_more(counts).split(run)
                 if len(best) > 1:
-                    of.append(row["run"])
+                    of.append(run)
                     words.append(list(best))
             kinds = [pa.array(of, pa.string()), pa.array(words, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(kinds, ["run", "words"])
 
-    once = stored(found.select("run").distinct(), "url-runs")
-    met = once.mapInArrow(substrings, "run string, word string").join(counts.hint("merge"), "word")
-    met = met.select("run", F.struct("word", "n").alias("known"))
-    none = once.select("run", F.lit(None).cast(met.schema["known"].dataType).alias("known"))
-    gathered = met.unionByName(none).groupBy("run").agg(F.collect_list("known").alias("known"))
+    once = found.select("run").distinct().withColumn("id", F.monotonically_increasing_id())
+    once = stored(once, "url-runs")
+    words = counts.select(F.substring("word", 1, LONGEST).alias("start"), "word", "n")
+    met = once.mapInArrow(substrings, "id long, start string").join(words.hint("merge"), "start")
+    # Starts that stand at several places of a run come once for each batch of it.
+    met = met.groupBy("id").agg(F.collect_set(F.struct("word", "n")).alias("known"))
+    gathered = once.join(met.hint("merge"), "id", "left").select("run", "known")
     return gathered.mapInArrow(split, "run string, words array<string>")
 
 

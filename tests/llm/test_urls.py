@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from itertools import product
 
@@ -124,6 +125,37 @@ def test_rare_words_split_names_in_large_vocabularies(spark):
     assert {x.run: x.words for x in row.split} == {"quirkyzebras": ["quirky", "zebras"]}
 
 
+def test_words_and_runs_of_any_length(spark):
+    long = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    other = long[:20] + "xyz"
+    urls = [f"http://{long}garden.net/", f"http://{'ab' * 50_000}.net/", f"http://{other}garden.net/"]
+    texts = [f"{long} garden " * 3, "", f"{other} " * 2]
+    rows = [(i, *row) for i, row in enumerate(zip(urls, texts))]
+    table_ = table(spark, rows, "page_id long, url string, html string")
+    split = {x.run: x.words for row in url_filter.parsed(table_, "url", "html").collect() for x in row.split or ()}
+    assert split == {f"{long}garden": [long, "garden"], f"{other}garden": [other, "garden"]}
+    assert url_filter.judged(table_, []).count() == 3
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_viterbi_with_words_over_the_longest(seed):
+    pick = random.Random(seed)
+    counts = {"".join(pick.choices("ab", k=pick.choice([1, 2, 5, 21, 25]))): pick.randint(1, 50) for _ in range(12)}
+    known, total = list(counts), sum(counts.values())
+    run = "".join(pick.choice(known) + pick.choice(["", "b", "xyzzy"]) for _ in range(4))
+    words, unknown = Words(counts), math.log(total) - math.log(10)
+
+    def cost(piece):
+        n = counts.get(piece)
+        return math.log(total / n) if n else unknown + len(piece) * math.log(10)
+
+    best = [0.0]
+    for end in range(1, len(run) + 1):
+        best.append(min(best[a] + cost(run[a:end]) for a in range(end)))
+    assert "".join(words.split(run)) == run
+    assert sum(map(cost, words.split(run))) == pytest.approx(best[-1])
+
+
 def test_op6_query(spark):
     urls = dict(map(tuple, sf(spark, "pages").select("page_id", "url").collect()))
     rows = queries.QUERIES["op6_url_filter"](spark, "/root/testdata/sf0.001").collect()
