@@ -43,6 +43,7 @@ from factlab.operators import (
     period_summary,
     preview,
     ranked,
+    sessions,
     shared,
     top_k,
     top_ranked,
@@ -59,6 +60,7 @@ from factlab.sources import (
     write_csv_raw,
     write_table,
 )
+from factlab.streaming import file_stream, run_available, stream_sessions, stream_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1019,6 +1021,72 @@ def q28_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_levels(orders, ["order_year", "o_orderpriority", "o_orderstatus"], "rollup", [])
 
 
+# ---- streams and sessions ------------------------------------------------------------
+
+
+def _streamed(spark: SparkSession, result: DataFrame) -> DataFrame:
+    """What a stream gives for all files there are."""
+    folder = fresh_path(spark, "stream")
+    run_available(result, f"{folder}/rows", f"{folder}/checkpoint")
+    return spark.read.schema(result.schema).parquet(f"{folder}/rows")
+
+
+@_query(
+    "q29_windows",
+    """with hours as (
+         select time_bucket(interval 1 hour, ts) as window_start, event_type,
+                count(*) as n,
+                sum(round(value * 100)::bigint)::bigint as cents, max(value) as top
+         from events where ts is not null group by all),
+       ends as (select max(ts) - interval 2 hours as mark from events)
+       select window_start, window_start + interval 1 hour as window_end, event_type, n, cents, top
+       from hours, ends where window_start + interval 1 hour <= date_trunc('milliseconds', mark)""",
+)
+def q29_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of events by type that a watermark of two hours has closed, from a stream."""
+    stats = [
+        F.count("*").alias("n"),
+        F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"),
+        F.max("value").alias("top"),
+    ]
+    stream = file_stream(spark, f"{sf_dir}/events.parquet", _SCHEMAS["events"])
+    return _streamed(spark, stream_windows(stream, "ts", "1 hour", "2 hours", ["event_type"], stats))
+
+
+#: Sessions of users by gaps and islands: rows over half an hour after the row before start one.
+_SESSIONS = """with gaps as (
+    select *, coalesce(ts > lag(ts) over w + interval 30 minutes, true) as new
+    from events where ts is not null window w as (partition by user_id order by ts)),
+  numbered as (
+    select *, sum(new::int) over (partition by user_id order by ts)::bigint as session from gaps),
+  sessions as (
+    select user_id, session, min(ts) as first_at, max(ts) as last_at, count(*) as n
+    from numbered group by all)
+"""
+
+
+@_query("q30_sessions", _SESSIONS + "select * from sessions")
+def q30_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user, with gaps of up to half an hour."""
+    return sessions(_table(spark, sf_dir, "events"), ["user_id"], "ts", 1800)
+
+
+@_query(
+    "q30_sessions_stream",
+    _SESSIONS
+    + """select user_id, first_at as session_start, last_at + interval 30 minutes as session_end, n
+      from sessions where last_at + interval 30 minutes
+        <= date_trunc('milliseconds', (select max(ts) - interval 2 hours from events))""",
+)
+def q30_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions that a watermark of two hours has closed, from a stream."""
+    stream = file_stream(spark, f"{sf_dir}/events.parquet", _SCHEMAS["events"])
+    found = stream_sessions(
+        stream, "ts", "30 minutes", "2 hours", ["user_id"], [F.count("*").alias("n")]
+    )
+    return _streamed(spark, found)
+
+
 # ---- training-data operators ---------------------------------------------------------
 # They and the pipeline live in a subpackage that may be absent.
 

@@ -16,6 +16,7 @@ from factlab.operators.moving import moving_average
 from factlab.operators.numbering import numbered, ranked
 from factlab.operators.ranking import preview, top_k, top_ranked
 from factlab.operators.reuse import shared
+from factlab.operators.sessions import sessions
 from factlab.operators.time_joins import asof_join, by_day, by_days, interval_join
 
 __all__ = [
