@@ -31,18 +31,22 @@ from factlab.operators import (
     asof_join,
     by_days,
     daily_counts,
+    distinct_bitmaps,
     filter_all,
     global_mean,
     grouped_levels,
     grouped_stats,
     interval_join,
     join_to_groups,
+    key_changes,
     lookup_join,
     merge_join,
+    merged_distinct,
     moving_average,
     period_summary,
     preview,
     ranked,
+    row_changes,
     sessions,
     shared,
     top_k,
@@ -1087,6 +1091,69 @@ def q30_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, found)
 
 
+# ---- stored distinct counts, differences of snapshots ------------------------------------
+
+
+@_query(
+    "q31_distinct_suppliers",
+    """select l_returnflag, year(l_shipdate)::int as ship_year,
+              count(distinct l_suppkey) as suppliers, count(distinct l_orderkey) as orders
+       from lineitem group by all""",
+)
+def q31_distinct_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and orders of a year, merged from bitmaps that are stored by month."""
+    items = _table(spark, sf_dir, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    keys = ["l_returnflag", "ship_year"]
+
+    def counted(column: str, name: str) -> DataFrame:
+        path = fresh_path(spark, "bitmaps")
+        distinct_bitmaps(items, ["l_returnflag", "month"], column).write.parquet(path)
+        stored = spark.read.parquet(path).withColumn("ship_year", F.year("month"))
+        return merged_distinct(stored, keys, name)
+
+    return counted("l_suppkey", "suppliers").join(counted("l_orderkey", "orders"), keys)
+
+
+_ITEM_BAGS = """with old as (select l_suppkey, l_quantity, l_linestatus from lineitem where l_returnflag = 'A'),
+  new as (select l_suppkey, l_quantity, l_linestatus from lineitem where l_returnflag = 'R')
+"""
+
+
+def _item_bags(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    items = _table(spark, sf_dir, "lineitem")
+    columns = ["l_suppkey", "l_quantity", "l_linestatus"]
+    return tuple(items.where(F.col("l_returnflag") == flag).select(columns) for flag in ("A", "R"))
+
+
+@_query(
+    "q32_row_changes",
+    _ITEM_BAGS
+    + """select l_suppkey, l_quantity, l_linestatus, sum(up)::bigint as added, sum(1 - up)::bigint as removed
+      from (select *, 1 as up from (select * from new except all select * from old)
+            union all select *, 0 from (select * from old except all select * from new))
+      group by all""",
+)
+def q32_row_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted against returned items as bags of rows."""
+    return row_changes(*_item_bags(spark, sf_dir))
+
+
+@_query(
+    "q32_key_changes",
+    _ITEM_BAGS
+    + """, more as (select * from new except all select * from old),
+      less as (select * from old except all select * from new)
+      select l_suppkey, l_quantity,
+             case when (l_suppkey, l_quantity) not in (select l_suppkey, l_quantity from old) then 'added'
+                  when (l_suppkey, l_quantity) not in (select l_suppkey, l_quantity from new) then 'removed'
+                  else 'changed' end as change
+      from (select l_suppkey, l_quantity from more union select l_suppkey, l_quantity from less)""",
+)
+def q32_key_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and quantities whose accepted and returned items differ."""
+    return key_changes(*_item_bags(spark, sf_dir), ["l_suppkey", "l_quantity"])
+
+
 # ---- training-data operators ---------------------------------------------------------
 # They and the pipeline live in a subpackage that may be absent.
 

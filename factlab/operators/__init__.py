@@ -10,6 +10,7 @@ from factlab.operators.aggregates import (
     grouped_stats,
     period_summary,
 )
+from factlab.operators.distinct import distinct_bitmaps, merged_distinct
 from factlab.operators.filters import filter_all
 from factlab.operators.joins import join_to_groups, lookup_join, merge_join
 from factlab.operators.moving import moving_average
@@ -17,6 +18,7 @@ from factlab.operators.numbering import numbered, ranked
 from factlab.operators.ranking import preview, top_k, top_ranked
 from factlab.operators.reuse import shared
 from factlab.operators.sessions import sessions
+from factlab.operators.snapshots import key_changes, row_changes
 from factlab.operators.time_joins import asof_join, by_day, by_days, interval_join
 
 __all__ = [
@@ -26,14 +28,17 @@ __all__ = [
     "by_day",
     "by_days",
     "daily_counts",
+    "distinct_bitmaps",
     "filter_all",
     "global_mean",
     "grouped_levels",
     "grouped_stats",
     "interval_join",
     "join_to_groups",
+    "key_changes",
     "lookup_join",
     "merge_join",
+    "merged_distinct",
     "moving_average",
     "period_summary",
     "preview",
