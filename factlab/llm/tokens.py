@@ -40,10 +40,12 @@ _LATIN_SPLITS = {
     "spaced": rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_LETTERS}+| ?[0-9]+| ?{_SIGNS}+|\s+(?!\S)|\s+",
 }
 #: Bytes of words and ids that a worker keeps, their objects and places included.
-MEMO_BYTES = 48_000_000
+MEMO_BYTES = 64_000_000
 _ENTRY_BYTES = 120
-#: A sign between a letter and white space is a piece by itself in either split.
-_STOP = re.compile(rf"[.,:;?!](?=[ \n])(?<={_LETTERS}.)")
+#: Signs between a letter and white space are a piece by themselves in either split; none of
+#: those that special strings start and end with.
+_ENDING = r"[!-/:;=?@\[-`{}~]"
+_STOP = re.compile(rf"{_ENDING}(?<={_LETTERS}.){_ENDING}*(?=[ \n])")
 #: Stands in front of a word that follows the one before without a space.
 _MARK = "\0"
 
@@ -141,8 +143,11 @@ class Codec:
 
         A word at whose ends the cut is not proven has no ids of its own.
         """
-        if word.isalpha() and _LATIN.fullmatch(word):
-            return self._merged(f" {word}")
+        if word.isalpha():
+            if word.isascii():
+                return self._ids(f"Ġ{word}")
+            if _LATIN.fullmatch(word):
+                return self._merged(f" {word}")
         if word.startswith(_MARK):
             rest = word[1:]
             return self._word(rest) if _PLAIN_ENDS.fullmatch(rest.lstrip("\n")) else None
@@ -170,10 +175,11 @@ class Codec:
     def _merged(self, piece: str) -> bytes:
         """Ids of one piece of the split, by the library's model."""
         if piece.isascii() and "\n" not in piece:
-            piece = piece.replace(" ", "Ġ")
-        else:
-            piece = "".join([self._letters[byte] for byte in piece.encode()])
-        return _packed([x.id for x in self._model.tokenize(piece)])
+            return self._ids(piece.replace(" ", "Ġ"))
+        return self._ids(piece.encode().decode("latin-1").translate(self._letters))
+
+    def _ids(self, letters: str) -> bytes:
+        return _packed([x.id for x in self._model.tokenize(letters)])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
@@ -195,14 +201,14 @@ class Codec:
         return b"".join([self._word(first) if first else b"", *parts])
 
 
-def _byte_letters() -> list[str]:
+def _byte_letters() -> dict[int, str]:
     """The letter that byte-level vocabularies write for each byte.
 
     Bytes that print stand for themselves, the others for the letters from 256 on.
     """
-    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [byte for byte in range(256) if byte not in printed]
-    return [chr(byte if byte in printed else 256 + others.index(byte)) for byte in range(256)]
+    return {byte: chr(256 + place) for place, byte in enumerate(others)}
 
 
 def _packed(ids: list[int]) -> bytes:
