@@ -18,6 +18,7 @@ from factlab.functions import (
     at_least,
     day_number,
     day_of,
+    json_columns,
     long_text,
     month_of,
     text_to_boolean,
@@ -32,6 +33,9 @@ from factlab.operators import (
     by_days,
     daily_counts,
     distinct_bitmaps,
+    distinct_sketches,
+    error_bound,
+    exists_in,
     filter_all,
     global_mean,
     grouped_levels,
@@ -42,9 +46,15 @@ from factlab.operators import (
     lookup_join,
     merge_join,
     merged_distinct,
+    merged_distinct_estimate,
+    merged_quantiles,
     moving_average,
+    not_exists_in,
+    not_in,
+    outer_join,
     period_summary,
     preview,
+    quantile_sketches,
     ranked,
     row_changes,
     sessions,
@@ -1154,6 +1164,132 @@ def q32_key_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_changes(*_item_bags(spark, sf_dir), ["l_suppkey", "l_quantity"])
 
 
+# ---- rows with and without partners ----------------------------------------------------
+
+_SOME_CUSTOMER = "case when o_custkey % 10 <> 0 then o_custkey end"
+
+
+def _loose_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, a tenth of them of no known customer."""
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.expr(_SOME_CUSTOMER).alias("custkey")
+    )
+
+
+def _rich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").where("c_acctbal > 5000")
+
+
+@_query(
+    "q33_exists",
+    f"""select o_orderkey, o_totalprice, {_SOME_CUSTOMER} as custkey from orders
+        where {_SOME_CUSTOMER} in (select c_custkey from customer where c_acctbal > 5000)""",
+)
+def q33_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of rich customers."""
+    return exists_in(_loose_orders(spark, sf_dir), _rich(spark, sf_dir), [("custkey", "c_custkey")])
+
+
+@_query(
+    "q33_not_exists",
+    f"""select o_orderkey, o_totalprice, {_SOME_CUSTOMER} as custkey from orders
+        where not exists (select 1 from customer
+                          where c_custkey = {_SOME_CUSTOMER} and c_acctbal > 5000)""",
+)
+def q33_not_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of no rich customer, those of no customer included."""
+    rich = _rich(spark, sf_dir)
+    return not_exists_in(_loose_orders(spark, sf_dir), rich, [("custkey", "c_custkey")])
+
+
+@_query(
+    "q33_not_in",
+    f"""select o_orderkey, o_totalprice, {_SOME_CUSTOMER} as custkey from orders
+        where {_SOME_CUSTOMER} not in (select c_custkey from customer where c_acctbal > 5000)""",
+)
+def q33_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers known not to be rich."""
+    return not_in(_loose_orders(spark, sf_dir), _rich(spark, sf_dir), "custkey", "c_custkey")
+
+
+@_query(
+    "q33_full_join",
+    f"""select o.o_orderkey, o.o_totalprice, o.custkey, c.c_custkey, c.c_name
+        from (select o_orderkey, o_totalprice, {_SOME_CUSTOMER} as custkey from orders) as o
+        full join (select c_custkey, c_name from customer where c_acctbal > 5000) as c
+          on o.custkey = c.c_custkey""",
+)
+def q33_full_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and rich customers, each with or without the other."""
+    rich = _rich(spark, sf_dir).select("c_custkey", "c_name")
+    return outer_join(_loose_orders(spark, sf_dir), rich, [("custkey", "c_custkey")], "full")
+
+
+# ---- semi-structured columns, sketches -------------------------------------------------
+
+_LOOSE_PROPS = """case event_id % 11 when 0 then substr(props, 1, 5) when 1 then '{"k": "some"}'
+    when 2 then '{"k": null}' when 3 then null when 4 then '{}' else props end"""
+
+
+@_query(
+    "q34_json",
+    f"""with e as (select event_id, event_type, {_LOOSE_PROPS} as props from events),
+          r as (select *, case when json_valid(props) then props::json ->> '$.k' end as k from e)
+        select event_id, event_type, try_cast(k as bigint) as k,
+               case when props is not null and not json_valid(props) then 'not json'
+                    when k is not null and try_cast(k as bigint) is null then 'k'
+                    else '' end as problems
+        from r""",
+)
+def q34_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A typed field of each event's properties, and what is wrong with them."""
+    events = _table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.expr(_LOOSE_PROPS).alias("props")
+    )
+    typed = json_columns(events, "props", {"k": ("$.k", "bigint")})
+    return typed.drop("props").withColumn("problems", F.array_join("problems", ","))
+
+
+@_query(
+    "q35_distinct_estimates",
+    """select l_returnflag, year(l_shipdate)::int as ship_year, count(l_orderkey) as n,
+              true as close
+       from lineitem group by all""",
+)
+def q35_distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a year from sketches stored by month, held against the exact count."""
+    items = _table(spark, sf_dir, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    keys, path = ["l_returnflag", "ship_year"], fresh_path(spark, "sketches")
+    distinct_sketches(items, ["l_returnflag", "month"], "l_orderkey").write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("ship_year", F.year("month"))
+    found = merged_distinct_estimate(stored, keys, "estimate")
+    items = items.withColumn("ship_year", F.year("l_shipdate"))
+    exact = items.groupBy(*keys).agg(F.count_distinct("l_orderkey").alias("exact"))
+    # Five standard errors, so that no group of many falls out by chance.
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") * error_bound(deviations=5)
+    return found.join(exact, keys).select(*keys, "n", near.alias("close"))
+
+
+@_query(
+    "q35_quantiles",
+    """select l_returnflag, count(l_extendedprice) as n, true as median_close, true as tail_close
+       from lineitem group by all""",
+)
+def q35_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median and 95th percentile of prices from sketches stored by month, with true ranks."""
+    items = _table(spark, sf_dir, "lineitem").withColumn("month", F.trunc("l_shipdate", "month"))
+    path, shares = fresh_path(spark, "sketches"), {"median": 0.5, "tail": 0.95}
+    quantile_sketches(items, ["l_returnflag", "month"], "l_extendedprice").write.parquet(path)
+    found = merged_quantiles(spark.read.parquet(path), ["l_returnflag"], shares)
+    prices = items.select("l_returnflag", "l_extendedprice")
+    upto = {
+        name: F.avg((F.col("l_extendedprice") <= F.col(name)).cast("int")) for name in shares
+    }
+    ranks = prices.join(F.broadcast(found), "l_returnflag").groupBy("l_returnflag", "n")
+    near = {f"{name}_close": F.abs(upto[name] - share) <= 0.02 for name, share in shares.items()}
+    return ranks.agg(*[value.alias(name) for name, value in near.items()])
+
+
 # ---- training-data operators ---------------------------------------------------------
 # They and the pipeline live in a subpackage that may be absent.
 

@@ -1,4 +1,5 @@
-"""Column functions: calendar fields of epoch and time columns, text conversion, predicates."""
+"""Column functions: calendar fields of epoch and time columns, text conversion, predicates,
+fields of JSON texts."""
 
 from factlab.functions.calendar import (
     add_period,
@@ -17,6 +18,7 @@ from factlab.functions.predicates import (
     not_null,
     one_of,
 )
+from factlab.functions.semi_structured import json_columns
 from factlab.functions.text import text_to_boolean, text_to_flag
 
 __all__ = [
@@ -27,6 +29,7 @@ __all__ = [
     "day_of",
     "epoch_to_date",
     "is_true",
+    "json_columns",
     "long_text",
     "month_of",
     "not_null",
