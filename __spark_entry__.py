@@ -576,7 +576,9 @@ def _ingested(spark: SparkSession, sf_dir: str, tasks: str) -> DataFrame:
     """documents through raw CSV and back: quotes, commas and newlines survive."""
     documents = _table(spark, sf_dir, "documents")
     raw, typed = fresh_path(spark, "documents-csv"), fresh_path(spark, "documents")
-    write_csv_raw(documents, raw, records_per_file=20_000)
+    # Compressed files cannot be read by blocks.
+    compression = "gzip" if tasks == "files" else "none"
+    write_csv_raw(documents, raw, records_per_file=20_000, compression=compression)
     ingest_csv(spark, raw, typed, {"doc_id": "bigint", "n_chars": "bigint"}, tasks=tasks)
     return read_table(spark, typed)
 
@@ -784,7 +786,7 @@ _report(
 
 def _stored_reviews(table: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, typed = fresh_path(spark, "reviews-csv"), fresh_path(spark, "reviews")
-    write_csv_raw(table.drop("review_year", "review_month"), raw)
+    write_csv_raw(table.drop("review_year", "review_month"), raw, compression="gzip")
     reviews.ingest(spark, raw, typed, partition_by=["review_year", "review_month"])
     return reviews.monthly_summary(reviews.load(spark, typed), _YEARS, partitioned=True)
 
@@ -833,7 +835,7 @@ def review_formats(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     """The review table stored as raw CSV and as Parquet, both read back."""
     raw, typed = fresh_path(spark, "reviews-csv"), fresh_path(spark, "reviews")
     stored = _reviews(spark, sf_dir).drop("review_year", "review_month")
-    write_csv_raw(stored, raw)
+    write_csv_raw(stored, raw, compression="gzip")
     write_table(stored, typed)
     csv = reviews.with_period(read_csv_typed(spark, raw, schemas.REVIEWS))
     return csv, reviews.load(spark, typed)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +93,23 @@ def test_kept_rows_have_two_readers_and_are_released(spark):
     assert len(re.findall(r"- InMemoryTableScan \(\d+\)", seen[0])) == 2
     assert result.count() > 0
     assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+@pytest.mark.parametrize("name", ["reviews_ingest", "b1_formats", "q11_ingest"])
+def test_raw_csv_is_stored_in_a_fraction_of_its_text(spark, name):
+    paths = []
+    original = spark_entry.write_csv_raw
+
+    def spy(df, path, *args, **options):
+        paths.append(path)
+        original(df, path, *args, **options)
+
+    spark_entry.write_csv_raw = spy
+    try:
+        spark_entry.queries()[name](spark, SF_DIR)
+    finally:
+        spark_entry.write_csv_raw = original
+    (stored,) = (Path(path) for path in paths)
+    files = list(stored.glob("part-*"))
+    text = sum(len(gzip.open(file).read()) for file in files if file.suffix == ".gz")
+    assert 2 * sum(file.stat().st_size for file in files) < text

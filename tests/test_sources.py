@@ -169,6 +169,27 @@ def test_written_csv_comes_back_whole(spark, tmp_path):
     assert [row["text"] for row in back.orderBy("id").collect()] == expected
 
 
+@pytest.mark.parametrize("tasks", ["files", "blocks"])
+def test_compressed_csv_comes_back_whole(spark, tmp_path, tasks):
+    path = str(tmp_path / "raw")
+    df = spark.createDataFrame([(str(i), x) for i, x in enumerate(AWKWARD)], "id string, text string")
+    write_csv_raw(df.coalesce(1), path, records_per_file=8, compression="gzip")
+    assert len(list(Path(path).glob("*.csv.gz"))) == 3 and not list(Path(path).glob("*.csv"))
+    plain = str(tmp_path / "plain")
+    write_csv_raw(df, plain)
+    assert rows(read_csv_raw(spark, path, tasks=tasks)) == rows(read_csv_raw(spark, plain))
+    typed = read_csv_typed(spark, path, "id int, text string")
+    assert [row["id"] for row in typed.orderBy("id").collect()] == list(range(len(AWKWARD)))
+
+
+def test_compressed_csv_in_another_order_is_refused(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.createDataFrame([("1", "x")], "id string, text string")
+    write_csv_raw(df, path, compression="gzip")
+    with pytest.raises(Exception, match="header does not conform to the schema"):
+        read_csv_typed(spark, path, "text string, id string").collect()
+
+
 def test_ingest_partitioned_and_pruned(spark, messy, tmp_path):
     target = str(tmp_path / "typed")
     ingest_csv(spark, messy, target, TYPES, epoch="seconds", partition_by=["review_year"])
