@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from factlab.sources.scratch import fresh_path
+from factlab.sources.scratch import fresh_path, remove_path
 
 #: White space of all word counts here: space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +27,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_while(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``stored``, but removed at the end of the block, for what no result reads."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    yield df.sparkSession.read.schema(df.schema).parquet(path)
+    remove_path(df.sparkSession, path)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of what is written go when it is, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

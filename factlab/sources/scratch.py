@@ -35,6 +35,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Removes one fresh path of ``spark``, which no result reads any more."""
+    _written.remove((spark, path))
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    # After the end of a session its context is another object, or the bare class.
+    if getattr(context, "_jsc", None) is not None:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def remove_scratch(spark: SparkSession | None = None) -> None:
     """Removes what was written to fresh paths, of ``spark`` or of every session.
 
@@ -43,11 +57,7 @@ def remove_scratch(spark: SparkSession | None = None) -> None:
     """
     for owner, path in [x for x in _written if spark is None or x[0] is spark]:
         _written.remove((owner, path))
-        # After the end of a session its context is another object, or the bare class.
-        context = owner.sparkContext
-        if getattr(context, "_jsc", None) is not None:
-            target = context._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(owner, path)
 
 
 atexit.register(remove_scratch)
